@@ -10,6 +10,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from kohortflow.functions.codes import SEVERE_CHRONIC
+
 ROLES = {
     "r_child": """
         SELECT c_custkey AS child_id,
@@ -70,9 +72,122 @@ ROLES = {
     "r_history": """
         SELECT user_id AS PNR, ts AS valid_from, event_type AS FAMILIE_ID, event_id
         FROM {events}""",
+    "r_snapshot": """
+        SELECT b.PNR, b.year, c.birth_date AS FOED_DAG, c.gender AS KOEN,
+               CAST(b.year - year(c.birth_date) AS INT) AS ALDER,
+               b.FAMILIE_ID, b.PLADS, b.CIVST, b.ANTPERSF, b.MOR_ID, b.FAR_ID, b.PLADS AS FM_MARK
+        FROM {r_bef} b JOIN {r_child} c ON b.PNR = c.child_id""",
+    "r_mfr": """
+        SELECT child_id AS CPR_BARN, family_id AS FAMILIE_ID, birth_date AS FOEDSELSDATO,
+               gender AS KOEN_BARN, birth_weight AS VAEGT_BARN,
+               CAST(20 + child_id % 25 AS INT) AS GESTATIONSALDER_BARN
+        FROM {r_child}""",
+    "r_dod": """
+        SELECT PNR, make_date(max(year), 1, 1) AS DODDATO
+        FROM {r_akm} WHERE PNR % 3 = 0 GROUP BY PNR""",
+    "r_dodsaars": """
+        SELECT PNR, max(concat('A', substr(CAST(ARBGNR AS STRING), 1, 2))) AS C_DOD1,
+               CAST(count(*) AS STRING) AS C_DODSMAADE
+        FROM {r_idan} WHERE PNR % 4 = 0 GROUP BY PNR""",
+    "r_dodsaasg": """
+        SELECT PNR, max(SOCIO13) AS C_DODTILGRUNDL_ACME
+        FROM {r_ind} WHERE PNR % 5 = 0 GROUP BY PNR""",
+    "r_lmdb": """
+        SELECT l_suppkey AS PNR12, concat('A', CAST(l_partkey AS STRING)) AS ATC,
+               CAST(l_shipdate AS DATE) AS EKSD, l_quantity AS VOLUMEN, l_tax AS STYRKE,
+               l_linenumber AS PAKSTR
+        FROM {lineitem}""",
+    "r_vnds": """
+        SELECT user_id AS PNR, CAST(ts AS DATE) AS HAEND_DATO, event_type AS INDUD_KODE
+        FROM {events}""",
+    "r_udfk": """
+        SELECT l_orderkey AS PNR, concat('FAG', CAST(l_partkey AS STRING)) AS FAGKODE,
+               l_returnflag AS KLASSETYPE, l_linenumber AS KLTRIN,
+               CAST(year(l_shipdate) AS INT) AS SKOLEAAR, l_quantity AS GRUNDSKOLEKARAKTER
+        FROM {lineitem}""",
+    "r_handic": """
+        SELECT PNR, sector AS FUNK_VURD, RECNUM AS MAAL_KEY, C_SPEC AS MODT_YDELSE_KODE,
+               D_INDDTO AS YDELSE_START, D_UDDTO AS YDELSE_SLUT
+        FROM {r_adm}""",
+    "r_ftbarn": """
+        SELECT child_id AS PNR, birth_date AS FOED_DAG, gender AS KOEN, birth_weight AS VAEGT_BARN,
+               mother_id AS MOR1, father_id AS FAR1, CAST(15 + child_id % 30 AS INT) AS MOR_ALDER
+        FROM {r_child}""",
+    "r_indfam": """
+        SELECT i.*, CAST(floor(i.PNR / 3) AS BIGINT) AS FAMILIE_ID
+        FROM {r_ind} i""",
+    "r_number": """
+        SELECT child_id, birth_date, gender,
+               concat(lpad(CAST(CASE WHEN child_id % 11 = 0 THEN 31 - day(birth_date)
+                                     ELSE day(birth_date) END AS STRING), 2, '0'),
+                      lpad(CAST(month(birth_date) AS STRING), 2, '0'),
+                      lpad(CAST(year(birth_date) % 100 AS STRING), 2, '0'),
+                      '-', CAST(child_id % 10 AS STRING),
+                      lpad(CAST(child_id % 997 AS STRING), 3, '0')) AS number
+        FROM {r_child}""",
 }
 
-TABLE = re.compile(r"\{(\w+)\}")
+# Steps shared by several reference queries, in DuckDB SQL only.
+STEPS = {
+    "icd_list": "SELECT * FROM (VALUES "
+    + ", ".join(f"('{codes}', '{grp}')" for codes, grp in SEVERE_CHRONIC)
+    + ") AS t(codes, grp)",
+    "icd_item": "SELECT trim(i) AS item, grp FROM (SELECT unnest(string_split(codes, ';')) AS i, grp FROM {icd_list})",
+    "icd_range": """
+        SELECT trim(string_split(x, '-')[1]) AS lo, trim(string_split(x, '-')[-1]) AS hi, grp
+        FROM (SELECT replace(item, '–', '-') AS x, grp FROM {icd_item})""",
+    "icd_point": "SELECT DISTINCT unnest(string_split(item, '-')) AS code FROM {icd_item}",
+    "o_child": """
+        SELECT CAST(child_id AS VARCHAR) AS child_id, CAST(family_id AS VARCHAR) AS family_id, birth_date,
+               gender, CAST(CAST(birth_weight AS FLOAT) AS DOUBLE) AS birth_weight,
+               CAST(20 + child_id % 25 AS INT) AS gestational_age
+        FROM {r_child}""",
+    "o_diagnosis": """
+        SELECT CAST(d.RECNUM AS VARCHAR) AS diagnosis_id, CAST(a.PNR AS VARCHAR) AS person_id,
+               d.C_DIAG AS diagnosis_code, d.C_DIAGTYPE AS diagnosis_type, a.D_INDDTO AS diagnosis_date,
+               a.C_SPEC AS speciality
+        FROM {r_diag} d JOIN {r_adm} a ON d.RECNUM = a.RECNUM""",
+    "o_cases": """
+        SELECT * FROM {o_diagnosis} x
+        WHERE diagnosis_date BETWEEN DATE '2000-01-01' AND DATE '2018-12-31'
+          AND EXISTS (SELECT 1 FROM {icd_range} r WHERE x.diagnosis_code >= r.lo
+                      AND substr(x.diagnosis_code, 1, length(r.hi)) <= r.hi)""",
+    "o_exposed": """
+        SELECT DISTINCT c.child_id, c.family_id, c.birth_date, x.diagnosis_date AS index_date
+        FROM {o_cases} x JOIN {o_child} c ON x.person_id = c.child_id
+        WHERE x.diagnosis_date - c.birth_date <= 1825""",
+    "o_first": """
+        SELECT child_id, family_id, birth_date, min(index_date) AS index_date
+        FROM {o_exposed} GROUP BY ALL""",
+    "o_pool": """
+        SELECT DISTINCT family_id, child_id, birth_date FROM {o_child}
+        WHERE birth_date BETWEEN DATE '1995-01-01' AND DATE '2018-12-31'""",
+    "o_person": """
+        SELECT * EXCLUDE (rn) FROM (
+            SELECT *, row_number() OVER (PARTITION BY PNR ORDER BY year DESC) AS rn FROM {r_snapshot})
+        WHERE rn = 1""",
+    "o_links": """
+        SELECT c.child_id, CAST(p.MOR_ID AS VARCHAR) AS mother_id, CAST(p.FAR_ID AS VARCHAR) AS father_id
+        FROM {o_child} c JOIN {o_person} p ON c.child_id = CAST(p.PNR AS VARCHAR)""",
+    "o_pincome": """
+        SELECT l.child_id, i.year, sum(CAST(i.PERINDKIALT_13 AS DECIMAL(18,2))) AS income
+        FROM (SELECT child_id, mother_id AS parent_id FROM {o_links}
+              UNION SELECT child_id, father_id FROM {o_links}) l
+        JOIN {r_ind} i ON l.parent_id = CAST(i.PNR AS VARCHAR)
+        GROUP BY l.child_id, i.year""",
+    "o_latest": """
+        SELECT * EXCLUDE (rn) FROM (
+            SELECT *, row_number() OVER (PARTITION BY PNR ORDER BY HF_VFRA DESC NULLS FIRST, HFAUDD DESC) AS rn
+            FROM {r_uddf}) WHERE rn = 1""",
+    "o_eligible": """
+        SELECT s.PNR, s.FOED_DAG, s.KOEN, s.MOR_ID, s.FAR_ID
+        FROM {r_snapshot} s JOIN {r_mfr} m ON s.PNR = m.CPR_BARN
+        WHERE year(s.FOED_DAG) BETWEEN 1995 AND 2018
+          AND year(s.FOED_DAG) + s.ALDER BETWEEN 2000 AND 2018""",
+}
+
+
+NAME = re.compile(r"\{(\w+)\}")
 
 
 class Tables:
@@ -88,16 +203,24 @@ class Tables:
 
     def sql(self, text: str) -> DataFrame:
         """Run SQL whose ``{name}`` are tables or roles."""
-        return self.spark.sql(text, **{name: self[name] for name in set(TABLE.findall(text))})
+        return self.spark.sql(text, **{name: self[name] for name in set(NAME.findall(text))})
+
+
+def with_steps(sql: str) -> str:
+    """DuckDB text: the roles and steps ``sql`` names in braces become CTEs in front of it."""
+    texts = {**ROLES, **STEPS}
+    order: list[str] = []
 
+    def visit(text: str) -> None:
+        for name in NAME.findall(text):
+            if name in texts and name not in order:
+                visit(texts[name])
+                order.append(name)
 
-def with_roles(sql: str) -> str:
-    """DuckDB text: the roles named in ``sql`` become CTEs in front of it."""
-    used = [r for r in ROLES if re.search(rf"\b{r}\b", sql)]
-    ctes = [f"{r} AS ({TABLE.sub(r'\1', ROLES[r])})" for r in used]
-    body = sql.strip()
-    if not ctes:
+    visit(sql)
+    plain = {name: NAME.sub(r"\1", texts[name]).strip() for name in order}
+    body = NAME.sub(r"\1", sql).strip()
+    if not plain:
         return body
-    if body.upper().startswith("WITH "):
-        return f"WITH {', '.join(ctes)}, {body[5:]}"
-    return f"WITH {', '.join(ctes)} {body}"
+    ctes = ", ".join(f"{name} AS ({text})" for name, text in plain.items())
+    return f"WITH {ctes} {body}"
