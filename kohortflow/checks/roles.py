@@ -223,4 +223,6 @@ def with_steps(sql: str) -> str:
     if not plain:
         return body
     ctes = ", ".join(f"{name} AS ({text})" for name, text in plain.items())
+    if body.upper().startswith("WITH "):
+        return f"WITH {ctes}, {body[5:]}"
     return f"WITH {ctes} {body}"

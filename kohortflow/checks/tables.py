@@ -139,9 +139,9 @@ def _(t):
     )
 
 
-@check("limit_rows", "SELECT RECNUM, C_DIAG FROM {r_diag} ORDER BY RECNUM, l_linenumber LIMIT 5")
+@check("limit_rows", "SELECT RECNUM, PNR, D_INDDTO FROM {r_adm} ORDER BY D_INDDTO, RECNUM LIMIT 5")
 def _(t):
-    return limit_rows(t["r_diag"], 5, "RECNUM", "l_linenumber").select("RECNUM", "C_DIAG")
+    return limit_rows(t["r_adm"], 5, "D_INDDTO", "RECNUM").select("RECNUM", "PNR", "D_INDDTO")
 
 
 # analysis tables

@@ -30,7 +30,7 @@ def _pattern_regex(pattern: str) -> str:
 def read_register(
     spark: SparkSession,
     location: str,
-    pattern: str,
+    pattern: str | None = None,
     years: Sequence[int] | None = None,
     month: int | str | None = None,
     drift: bool = False,
@@ -40,8 +40,15 @@ def read_register(
     ``pattern`` holds ``{year}``, ``{year}``/``{month}`` or ``{yearmonth}``; without them it names one file and
     no year is added. ``month='*'`` takes every month. The period comes from the file path, so a filter on it
     prunes files. ``drift`` unites the years one by one with identifiers as strings, for years whose column
-    types disagree; columns missing in a year are NULL either way. ``None`` when there is no file at all.
+    types disagree; columns missing in a year are NULL either way. Without a pattern the location is a table
+    partitioned by ``year``. ``None`` when there is no file at all.
     """
+    if pattern is None:
+        try:
+            table = spark.read.parquet(location)
+        except AnalysisException:
+            return None
+        return table.where(F.col("year").isin(list(years))) if years else table
     fmt = file_format(pattern)
     periodic = "{year}" in pattern or "{yearmonth}" in pattern
     monthly = "{month}" in pattern or "{yearmonth}" in pattern
@@ -91,7 +98,7 @@ def read_registers(
     """Named registers; a register's own ``years`` override the common range."""
     return {
         name: read_register(
-            spark, spec["location"], spec["pattern"], spec.get("years") or years, spec.get("month"),
+            spark, spec["location"], spec.get("pattern"), spec.get("years") or years, spec.get("month"),
             spec.get("drift", False),
         )
         for name, spec in registers.items()
