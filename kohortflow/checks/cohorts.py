@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from kohortflow.checks.registry import check, rounded
-from kohortflow.checks.tables import child, diagnosis, exposed, ranges
+from kohortflow.checks.tables import cases, child, diagnosis, exposed, ranges
 from kohortflow.operators import cohort as co
 from kohortflow.operators.propensity import caliper_match, propensity_logit
 from kohortflow.plans import studies
-from kohortflow.plans import tables as at
 
 
 @check("severe_chronic_cases", "SELECT * FROM {o_cases}")
@@ -31,7 +30,7 @@ check(
     "exposed_group_no_child_table",
     """SELECT DISTINCT person_id AS child_id, CAST(NULL AS VARCHAR) AS family_id, diagnosis_date AS index_date
        FROM {o_cases}""",
-)(lambda t: co.exposed_group(co.severe_chronic_cases(diagnosis(t), ranges(t)), None))
+)(lambda t: co.exposed_group(cases(t), None))
 
 
 def kids(t):
@@ -129,12 +128,10 @@ def _(t):
        WHERE a.D_INDDTO BETWEEN p.s - 365 AND p.s + 1825""",
 )
 def _(t):
-    cases = co.severe_chronic_cases(diagnosis(t), ranges(t)).withColumn(
-        "diagnosis_date", F.date_add("diagnosis_date", 700)
-    )
+    shifted = cases(t).withColumn("diagnosis_date", F.date_add("diagnosis_date", 700))
     family = child(t).select(F.col("child_id").alias("PNR"), "family_id")
     dated = t["r_adm"].select("RECNUM", F.col("PNR").cast("string").alias("PNR"), "D_INDDTO").join(family, "PNR")
-    return co.pre_post_label(dated, "D_INDDTO", co.treatment_period(cases, child(t))).select(
+    return co.pre_post_label(dated, "D_INDDTO", co.treatment_period(shifted, child(t))).select(
         "RECNUM", "family_id", "D_INDDTO", "period"
     )
 
@@ -176,13 +173,10 @@ def _(t):
          ON x.year = u.year""",
 )
 def income_comparison(t):
-    tables = {
-        "Diagnosis": diagnosis(t),
-        "Child": child(t),
-        "Person": at.person_table(t["r_snapshot"]),
-        "Income": at.person_year_income(t["r_ind"]),
-    }
-    out = studies.income_comparison(tables, ranges(t))
+    registers = {
+        "LPR_DIAG": t["r_diag"], "LPR_ADM": t["r_adm"], "MFR": t["r_mfr"], "BEF": t["r_snapshot"], "IND": t["r_ind"],
+    }
+    out = studies.income_study(registers, ranges(t))
     return out.select("year", rounded("avg_income_exposed"), rounded("avg_income_unexposed"))
 
 

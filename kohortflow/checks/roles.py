@@ -11,6 +11,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 
 from kohortflow.functions.codes import SEVERE_CHRONIC
+from kohortflow.session import tuned
 
 ROLES = {
     "r_child": """
@@ -194,12 +195,17 @@ class Tables:
     """The test tables of one folder and the roles over them, all lazy."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder
+        self.spark, self.folder = tuned(spark), folder
+        self._known: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name in ROLES:
-            return self.sql(ROLES[name])
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._known:
+            self._known[name] = (
+                self.sql(ROLES[name])
+                if name in ROLES
+                else self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            )
+        return self._known[name]
 
     def sql(self, text: str) -> DataFrame:
         """Run SQL whose ``{name}`` are tables or roles."""

@@ -10,6 +10,7 @@ from kohortflow.checks.roles import Tables
 from kohortflow.functions.codes import (
     endpoint_codes,
     icd_range_join,
+    in_code_ranges,
     parse_code_list,
     severe_chronic_list,
 )
@@ -48,8 +49,13 @@ def child(t: Tables) -> DataFrame:
     return at.child_table(t["r_mfr"])
 
 
+def cases(t: Tables) -> DataFrame:
+    coded = at.diagnosis_table([(t["r_diag"], t["r_adm"])], lambda d: in_code_ranges(d, "C_DIAG", ranges(t)))
+    return severe_chronic_cases(coded, ranges(t), mode="any")
+
+
 def exposed(t: Tables, **options) -> DataFrame:
-    return exposed_group(severe_chronic_cases(diagnosis(t), ranges(t)), child(t), **options)
+    return exposed_group(cases(t), child(t), **options)
 
 
 def doubles(df: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -54,80 +55,61 @@ def long_form(df: DataFrame, keys: Sequence[str], columns: Sequence[str], kind:
 
 
 def group_quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], accuracy: int = 10_000
+    df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float], accuracy: int = 10_000
 ) -> DataFrame:
-    """Exact linear-interpolated quantiles per group, one row per group and probability ``(keys..., p, q)``.
+    """Exact linear-interpolated quantiles per group, one column per entry of ``probs`` (name -> probability).
 
     Spark's ``percentile`` keeps all distinct values of a group in one buffer. Here a quantile sketch first
-    brackets each quantile; the second pass counts the rows below the bracket and keeps only the few values
-    inside it, so that no task ever holds a whole group. The value next to the bracket on either side is kept
-    too, which makes the result exact for small groups. A sketch that missed its error bound raises an error.
+    brackets every quantile. The second pass keeps the single values inside a bracket and counts whole
+    stretches between brackets, each with its lowest and highest value, so that no task ever holds a group:
+    what is left of it is a few stretches and at most ``8 / accuracy`` of its values per quantile. A rank
+    looked up inside a stretch would mean that the sketch broke its error bound, and raises an error.
     """
-    keys = list(keys)
+    keys, probs = list(keys), dict(probs)
     margin = 4.0 / accuracy
-    brackets = []
-    for p in probs:
-        brackets += [max(0.0, p - margin), min(1.0, p + margin)]
+    bounds = [min(1.0, max(0.0, p + m)) for p in probs.values() for m in (-margin, margin)]
     rows = df.select(*keys, F.col(value).cast("double").alias("__v")).where(F.col("__v").isNotNull())
-    sketch = F.percentile_approx("__v", F.array(*[F.lit(b) for b in brackets]), F.lit(accuracy))
+    sketch = F.percentile_approx("__v", F.array(*[F.lit(b) for b in bounds]), F.lit(accuracy))
     stats = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), sketch.alias("__b"))
-    targets = F.array(
-        *[
-            F.struct(
-                F.lit(float(p)).alias("p"),
-                F.get("__b", F.lit(2 * i)).alias("lo"),
-                F.get("__b", F.lit(2 * i + 1)).alias("hi"),
-            )
-            for i, p in enumerate(probs)
-        ]
-    )
-    stats = stats.select(*[F.col(k).alias(f"__k_{k}") for k in keys], "__n", targets.alias("__t"))
-    same = F.lit(True)
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
-    # side: -1 below the bracket, 0 inside, 1 above; outside values collapse in the map-side aggregation
-    side = F.when(F.col("__v") < F.col("t.lo"), -1).when(F.col("__v") > F.col("t.hi"), 1).otherwise(0)
-    inside = F.when(side == 0, F.col("__v"))
-    located = (
-        (rows.join(stats, same) if keys else rows.join(F.broadcast(stats)))  # no keys: one row of statistics
-        .select(*keys, "__n", "__v", F.explode("__t").alias("t"))
-        .groupBy(*keys, "__n", F.col("t.p").alias("p"), side.alias("side"), inside.alias("v"))
-        .agg(F.count(F.lit(1)).alias("c"), F.min("__v").alias("lowest"), F.max("__v").alias("highest"))
-    )
-    # what is left per group and probability: one row below, one above, the values inside
-    ranked = located.select(
-        *keys,
-        "__n",
-        "p",
-        "c",
-        F.when(F.col("side") < 0, F.col("highest")).when(F.col("side") > 0, F.col("lowest"))
-        .otherwise(F.col("v")).alias("v"),
-        "side",
-    )
-    upto = Window.partitionBy(*keys, "p").orderBy("side", "v").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    ranked = ranked.withColumn("last", F.sum("c").over(upto))
-    first = F.col("last") - F.col("c") + 1
-    position = (F.col("__n") - 1) * F.col("p")
-    low_rank, high_rank = F.floor(position) + 1, F.ceil(position) + 1
-
-    def holds(rank: Column) -> Column:
-        return (
-            F.when(F.col("side") < 0, rank == F.col("last"))
-            .when(F.col("side") > 0, rank == first)
-            .otherwise(rank.between(first, F.col("last")))
+    stats = stats.select(*[F.col(k).alias(f"__k_{k}") for k in keys], "__n", "__b")
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys])
+
+    below = [F.col("__v") < F.get("__b", F.lit(2 * i)) for i in range(len(probs))]
+    above = [F.col("__v") > F.get("__b", F.lit(2 * i + 1)) for i in range(len(probs))]
+    outside = reduce(lambda a, b: a & b, [x | y for x, y in zip(below, above, strict=True)])
+    stretch = reduce(lambda a, b: a + b, [x.cast("int") for x in below])  # which gap between the brackets
+    pieces = (
+        rows.join(stats, same)
+        .select(
+            *keys,
+            "__n",
+            "__v",
+            F.when(outside, stretch).alias("__stretch"),
+            F.when(~outside, F.col("__v")).alias("__single"),
         )
-
-    picked = ranked.groupBy(*keys, "p").agg(
-        F.max("__n").alias("__n"),
-        F.max(F.when(holds(low_rank), F.col("v"))).alias("lo_v"),
-        F.max(F.when(holds(high_rank), F.col("v"))).alias("hi_v"),
+        .groupBy(*keys, "__n", "__stretch", "__single")
+        .agg(F.count(F.lit(1)).alias("__c"), F.min("__v").alias("__lowest"), F.max("__v").alias("__highest"))
     )
-    lo_v = F.coalesce("lo_v", F.raise_error(F.lit("quantile outside its bracket")).cast("double"))
-    hi_v = F.coalesce("hi_v", F.raise_error(F.lit("quantile outside its bracket")).cast("double"))
-    fraction = (F.col("__n") - 1) * F.col("p")
-    return picked.select(*keys, "p", (lo_v + (hi_v - lo_v) * (fraction - F.floor(fraction))).alias("q"))
+    upto = Window.partitionBy(*keys).orderBy("__lowest").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = pieces.withColumn("__last", F.sum("__c").over(upto))
+    first = F.col("__last") - F.col("__c") + 1
+
+    def at_rank(rank: Column) -> Column:
+        hit = F.when(rank == first, F.col("__lowest")).when(rank == F.col("__last"), F.col("__highest"))
+        return F.max(hit.when(F.col("__single").isNotNull() & rank.between(first, F.col("__last")), F.col("__single")))
+
+    picks = []
+    for i, p in enumerate(probs.values()):
+        position = (F.col("__n") - 1) * F.lit(float(p))
+        picks += [at_rank(F.floor(position) + 1).alias(f"__lo{i}"), at_rank(F.ceil(position) + 1).alias(f"__hi{i}")]
+    picked = ranked.groupBy(*keys).agg(F.max("__n").alias("__n"), *picks)
+    out = []
+    for i, (name, p) in enumerate(probs.items()):
+        position = (F.col("__n") - 1) * F.lit(float(p))
+        missed = F.raise_error(F.lit("quantile outside its bracket")).cast("double")
+        low, high = F.coalesce(F.col(f"__lo{i}"), missed), F.coalesce(F.col(f"__hi{i}"), missed)
+        out.append((low + (high - low) * (position - F.floor(position))).alias(name))
+    return picked.select(*keys, *out)
 
 
 def group_summary(df: DataFrame, group: str, columns: Sequence[str]) -> DataFrame:
@@ -139,8 +121,8 @@ def group_summary(df: DataFrame, group: str, columns: Sequence[str]) -> DataFram
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
-    medians = group_quantiles(values, [group, "variable"], "value", [0.5]).select(
-        F.col(group).alias("__g"), F.col("variable").alias("__v"), F.col("q").alias("median")
+    medians = group_quantiles(values, [group, "variable"], "value", {"median": 0.5}).select(
+        F.col(group).alias("__g"), F.col("variable").alias("__v"), "median"
     )
     same = F.col(group).eqNullSafe(F.col("__g")) & (F.col("variable") == F.col("__v"))
     return moments.join(medians, same, "left").select(
@@ -168,12 +150,8 @@ def contingency(df: DataFrame, category: str, group: str, groups: Sequence, coun
 
 def box_stats(df: DataFrame, group: str, value: str, factor: float = 1.5) -> DataFrame:
     """Quartiles, whiskers (extreme values within ``factor`` IQR) and outlier count per group."""
-    quartiles = (
-        group_quantiles(df, [group], value, [0.25, 0.5, 0.75])
-        .groupBy(group)
-        .agg(*[F.max(F.when(F.col("p") == p, F.col("q"))).alias(n) for p, n in
-               ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))])
-        .withColumnRenamed(group, "__g")
+    quartiles = group_quantiles(df, [group], value, {"q1": 0.25, "median": 0.5, "q3": 0.75}).withColumnRenamed(
+        group, "__g"
     )
     spread = F.lit(factor) * (F.col("q3") - F.col("q1"))
     inside = F.col("__v").between(F.col("q1") - spread, F.col("q3") + spread)

@@ -21,8 +21,14 @@ BIRTH_WINDOW = ("1995-01-01", "2018-12-31")
 def severe_chronic_cases(
     diagnosis: DataFrame, codes: DataFrame, mode: str = "range", window: tuple[str, str] = DIAGNOSIS_WINDOW
 ) -> DataFrame:
-    """Diagnoses in the code list and the window. ``codes`` holds ranges, or end points in ``endpoint`` mode."""
+    """Diagnoses in the code list and the window.
+
+    ``codes`` holds ranges, or end points in ``endpoint`` mode; mode ``any`` takes diagnoses that were filtered
+    by code before.
+    """
     dated = between_dates(diagnosis, "diagnosis_date", *window)
+    if mode == "any":
+        return dated
     if mode == "endpoint":
         return has_code(dated, "diagnosis_code", codes.select("code"))
     return in_code_ranges(dated, "diagnosis_code", codes)

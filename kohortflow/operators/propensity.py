@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kohortflow.operators.cohort import rank_in_strata
+from kohortflow.session import cut_lineage
 
 
 def propensity_logit(df: DataFrame, treated: str, features: Sequence[str]) -> DataFrame:
@@ -54,9 +55,10 @@ def caliper_match(scored: DataFrame, treated: str, key: str, caliper: float = 0.
     Bins as wide as the caliper guarantee the distance, so a match is an equi join on bin and rank. Those left
     over are tried once more in bins shifted by half a width, which reaches across the first bins' edges.
     """
+    scored = cut_lineage(scored.select(key, treated, "logit"))  # read six times below
     width = F.lit(caliper) * scored.agg(F.stddev_samp("logit")).scalar()
     position = F.col("logit") / F.when(width > 0, width).otherwise(1.0)
-    first = _pair_in_bins(scored, treated, key, position)
+    first = cut_lineage(_pair_in_bins(scored, treated, key, position))
     used = first.select(F.explode(F.array("exposed_id", "control_id")).alias(key))
     rest = scored.join(used, key, "left_anti")
     return first.unionByName(_pair_in_bins(rest, treated, key, position + 0.5))

@@ -57,12 +57,9 @@ def iqr_outliers(df: DataFrame, columns: Sequence[str], factor: float = 1.5) ->
     types = dict(df.dtypes)
     columns = [c for c in columns if c in types and types[c] not in DATE_TYPES]
     values = long_form(df, [], columns, "double")
-    q1 = F.max(F.when(F.col("p") == 0.25, F.col("q")))
-    q3 = F.max(F.when(F.col("p") == 0.75, F.col("q")))
-    bounds = (
-        group_quantiles(values, ["variable"], "value", [0.25, 0.75])
-        .groupBy("variable")
-        .agg((q1 - factor * (q3 - q1)).alias("lower"), (q3 + factor * (q3 - q1)).alias("upper"))
+    spread = F.lit(factor) * (F.col("q3") - F.col("q1"))
+    bounds = group_quantiles(values, ["variable"], "value", {"q1": 0.25, "q3": 0.75}).select(
+        "variable", (F.col("q1") - spread).alias("lower"), (F.col("q3") + spread).alias("upper")
     )
     outside = (F.col("value") < F.col("lower")) | (F.col("value") > F.col("upper"))
     # one row of bounds per listed column, a handful by construction

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kohortflow.functions.codes import in_code_ranges
 from kohortflow.functions.exprs import known_at
 from kohortflow.operators.aggregates import mean_by_year
 from kohortflow.operators.cohort import (
@@ -19,6 +20,7 @@ from kohortflow.operators.cohort import (
 )
 from kohortflow.operators.joins import link_children_to_parents, link_parent_education, parental_income
 from kohortflow.operators.projection import eligible_children
+from kohortflow.plans.tables import child_table, diagnosis_table, person_table, person_year_income
 
 
 def create_cohorts(
@@ -39,7 +41,7 @@ def income_comparison(tables: Mapping[str, DataFrame], codes: DataFrame, mode: s
     cases = severe_chronic_cases(tables["Diagnosis"], codes, mode)
     child = tables["Child"].select("child_id", "family_id", "birth_date")
     weights = exposure_weights(exposed_group(cases, child), unexposed_pool(child))
-    links = link_children_to_parents(child.select("child_id"), tables["Person"]).join(weights, "child_id")
+    links = link_children_to_parents(weights, tables["Person"])
     income = parental_income(tables["Income"], links, "w_exposed", "w_unexposed")
     means = mean_by_year(
         income,
@@ -49,6 +51,24 @@ def income_comparison(tables: Mapping[str, DataFrame], codes: DataFrame, mode: s
     return means.where(F.col("avg_income_exposed").isNotNull() & F.col("avg_income_unexposed").isNotNull())
 
 
+def income_study(registers: Mapping[str, DataFrame | None], codes: DataFrame) -> DataFrame:
+    """:func:`income_comparison` from the registers, cut to what it needs before any join.
+
+    Diagnoses are filtered by code before they meet their admissions, and the population snapshots carry only
+    the parents into the reduction to one row per person.
+    """
+    get = registers.get
+    sectors = [(get(f"{s}_DIAG"), get(f"{s}_ADM")) for s in ("LPR", "PRIV", "PSYK")]
+    bef = registers["BEF"]
+    tables = {
+        "Diagnosis": diagnosis_table(sectors, lambda d: in_code_ranges(d, "C_DIAG", codes)),
+        "Child": child_table(registers["MFR"]),
+        "Person": person_table(bef.select(*[c for c in ("PNR", "year", "MOR_ID", "FAR_ID") if c in bef.columns])),
+        "Income": person_year_income(registers["IND"]),
+    }
+    return income_comparison(tables, codes, mode="any")
+
+
 def latest_education(uddf: DataFrame) -> DataFrame:
     """Education with the latest start date per person, an unknown start first, then the highest code."""
     order = F.struct(F.col("HF_VFRA").isNull().cast("int"), F.col("HF_VFRA"), F.col("HFAUDD"))

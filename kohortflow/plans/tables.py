@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -210,10 +210,14 @@ def child_table(mfr: DataFrame | None) -> DataFrame | None:
     return typed_projection(mfr, CHILD, "MFR")
 
 
-def diagnosis_table(sectors: list[tuple[DataFrame | None, DataFrame | None]]) -> DataFrame | None:
+def diagnosis_table(
+    sectors: list[tuple[DataFrame | None, DataFrame | None]],
+    only: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame | None:
     """Diagnoses with their admission, for each (diagnosis, admission) pair of registers that both exist.
 
-    Only the needed columns enter the joins.
+    Only the needed columns enter the joins. ``only`` filters the diagnosis registers before them, which keeps
+    the rows outside a code list out of the shuffle on the contact number.
     """
     wanted = [source for source, _, _ in DIAGNOSIS]
     joined = []
@@ -221,6 +225,7 @@ def diagnosis_table(sectors: list[tuple[DataFrame | None, DataFrame | None]]) ->
         if diag is None or adm is None:
             continue
         left = diag.select(*[c for c in wanted if c in diag.columns])
+        left = left if only is None else only(left)
         right = adm.select(
             "RECNUM", *[c for c in wanted if c in adm.columns and c not in left.columns]
         )
