@@ -237,7 +237,7 @@ def _(t):
     """Rules the attributes keep by construction, counted over one synthetic person per customer."""
     crowd = people(t)
     rows = t["customer"].select((F.col("c_custkey") - 1).alias("id"), F.lit(2023).alias("year"))
-    df = crowd.with_attributes(crowd.with_person(rows, "p", F.col("id")), "p", "year")
+    df = crowd.with_attributes(crowd.with_person(rows, "p", "id"), "p", "year")
     age, born = F.col("p_age"), F.year("p_birth")
     rules = {
         "married_minor": (age < 18) & (F.col("p_civil") != "U"),
@@ -270,8 +270,8 @@ def _(t):
 def _(t):
     crowd = people(t)
     rows = t["customer"].select((F.col("c_custkey") - 1).alias("id"))
-    df = crowd.with_person(rows, "p", F.col("id")).select(
-        crowd.number("p").alias("number"), F.col("p_birth").alias("birth"), F.col("p_sex").alias("sex")
+    df = crowd.with_person(rows, "p", "id").select(
+        F.expr(crowd.number("p")).alias("number"), F.col("p_birth").alias("birth"), F.col("p_sex").alias("sex")
     )
     return person_number_check(df, "number", "birth", "sex")
 

@@ -1,4 +1,4 @@
-"""Column expressions: dates, education at a reference date, person numbers, reproducible draws."""
+"""Column expressions: dates, education at a reference date, person numbers."""
 
 from __future__ import annotations
 
@@ -67,34 +67,3 @@ def person_number_rules(number: Column, birth_date: Column, sex: Column) -> dict
         "century_digit": ~seventh.between(low, high),
         "sex_parity": (last % 2) != F.when(sex == "K", 0).otherwise(1),
     }
-
-
-def uniform(*keys: Column | str | int) -> Column:
-    """Reproducible draw in [0, 1): a hash of its keys, so it does not depend on partitioning."""
-    cols = [k if isinstance(k, Column) else F.lit(k) for k in keys]
-    return F.shiftrightunsigned(F.xxhash64(*cols), 11).cast("double") / F.lit(float(2**53))
-
-
-def draw_int(u: Column, low: int, high: int | Column) -> Column:
-    """Integer in [low, high) from a uniform draw."""
-    high_col = high if isinstance(high, Column) else F.lit(high)
-    return (F.floor(u * (high_col - F.lit(low))) + F.lit(low)).cast("bigint")
-
-
-def draw_choice(u: Column, options: list, weights: list[float] | None = None) -> Column:
-    """One of ``options`` from a uniform draw."""
-    if weights is None:
-        values = F.array(*[F.lit(str(o)) for o in options])
-        return F.get(values, F.floor(u * len(options)).cast("int"))
-    total, out = 0.0, None
-    for option, weight in zip(options, weights, strict=True):
-        total += weight
-        hit = u < F.lit(round(total, 10))
-        out = F.when(hit, F.lit(str(option))) if out is None else out.when(hit, F.lit(str(option)))
-    return out.otherwise(F.lit(str(options[-1])))
-
-
-def draw_normal(u1: Column, u2: Column, mean: float, std: float) -> Column:
-    """Normal draw by the Box-Muller transform."""
-    radius = F.sqrt(F.lit(-2.0) * F.log(F.lit(1.0) - u1))
-    return F.lit(float(mean)) + F.lit(float(std)) * radius * F.cos(F.lit(6.283185307179586) * u2)

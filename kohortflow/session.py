@@ -20,6 +20,7 @@ def session(app: str = "kohortflow", cores: int | str = 8, **conf: str) -> Spark
         .config("spark.sql.shuffle.partitions", str(cores) if str(cores).isdigit() else "8")
         .config("spark.driver.memory", os.environ.get("KOHORTFLOW_DRIVER_MEMORY", "8g"))
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
     for key, value in conf.items():
