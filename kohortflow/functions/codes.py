@@ -63,9 +63,9 @@ EN_DASH = "–"
 
 
 def severe_chronic_list(spark: SparkSession) -> DataFrame:
-    """The built-in list ``(codes, grp)``, as literals so that its size is known to the planner."""
-    entries = F.array(*[F.struct(F.lit(c).alias("codes"), F.lit(g).alias("grp")) for c, g in SEVERE_CHRONIC])
-    return spark.range(1).select(F.inline(entries))
+    """The built-in list ``(codes, grp)``, as literal rows so that its size is known to the planner."""
+    rows = ", ".join(f"('{codes}', '{grp}')" for codes, grp in SEVERE_CHRONIC)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(codes, grp)")
 
 
 def _items(lists: DataFrame, codes: str, grp: str) -> DataFrame:
