@@ -1,0 +1,109 @@
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from kohortflow.operators.quality import age_consistency, parent_age_gap, person_number_check
+from kohortflow.plans import synthetic as syn
+from kohortflow.sources.registers import read_register
+
+N, YEARS = 3000, [2005, 2018]
+
+
+@pytest.fixture(scope="module")
+def registers(spark):
+    return syn.synth_population(spark, N, YEARS)
+
+
+def test_periods_and_columns(registers):
+    assert {"BEF", "LPR_ADM", "MFR", "IND"} <= set(registers)
+    assert "VNDS" not in registers and "UDDF" not in registers  # only 2022
+    for name, df in registers.items():
+        assert {c for c, _ in syn.columns_of(name)} <= set(df.columns)
+        assert "FAMILIE_ID" in df.columns
+    assert len(syn.REGISTERS) == len(syn.PERIODS) == 19
+
+
+def test_rows_per_year(registers):
+    counts = dict(rows(registers["LPR_ADM"].groupBy("year").count()))
+    assert counts == {2005: N, 2018: N}
+    bef = dict(rows(registers["BEF"].groupBy("year").count()))
+    assert bef[2005] < bef[2018] <= N
+
+
+def test_same_values_under_any_partitioning(spark):
+    people = syn.Population(500)
+    base = syn.register_rows(spark, 500, [2010])
+    want = rows(syn.synth_register(base, "IND", people), "PNR", "LOENMV_13", "FAMILIE_ID")
+    for n in (1, 7, 200):
+        assert rows(syn.synth_register(base.repartition(n), "IND", people), "PNR", "LOENMV_13", "FAMILIE_ID") == want
+
+
+def test_foreign_keys(registers):
+    bef = registers["BEF"].select("PNR", "year").distinct()
+    for name in ("LPR_ADM", "IND", "DOD", "SGDP"):
+        assert registers[name].join(bef, ["PNR", "year"], "left_anti").count() == 0
+    adm = registers["LPR_ADM"].select("RECNUM")
+    assert adm.distinct().count() == 2 * N
+    for name in ("LPR_DIAG", "LPR_SKSOPR"):
+        assert registers[name].join(adm, "RECNUM", "left_anti").count() == 0
+    families = registers["BEF"].select("FAMILIE_ID").distinct()
+    assert registers["FAIK"].where("FAMILIE_ID IS NOT NULL").join(families, "FAMILIE_ID", "left_anti").count() == 0
+
+
+def test_person_numbers_are_valid_and_distinct(registers):
+    bef = registers["BEF"].where("year = 2018")
+    assert bef.select("PNR").distinct().count() == bef.count()
+    assert all(r.n_violations == 0 for r in person_number_check(bef, "PNR", "FOED_DAG", "KOEN").collect())
+    assert age_consistency(registers["BEF"], "year", "FOED_DAG", "ALDER").first().n_violations == 0
+
+
+def test_parents_are_older(registers):
+    bef = registers["BEF"].where("year = 2018")
+    person = bef.select(F.col("PNR").alias("person_id"), F.col("FOED_DAG").alias("birth_date"))
+    child = bef.select("PNR", F.col("FOED_DAG").alias("birth_date"), F.col("MOR_ID").alias("mother_id"), F.col("FAR_ID").alias("father_id"))
+    got = parent_age_gap(child, person).collect()
+    assert {r.role for r in got} == {"mother", "father"}
+    assert all(r.n_violations == 0 and r.n_links > N / 2 for r in got)
+
+
+def test_ranges_and_dates(registers):
+    adm = registers["LPR_ADM"]
+    assert adm.where(~F.col("C_KOM").between(101, 850) | (F.year("D_INDDTO") != F.col("year"))).count() == 0
+    r = registers["IND"].agg(F.avg("LOENMV_13").alias("m"), F.stddev("LOENMV_13").alias("s")).first()
+    assert abs(r.m - 400000) < 8000 and abs(r.s - 100000) < 8000
+
+
+def test_marital_status_by_age(registers):
+    bef = registers["BEF"]
+    assert bef.where("ALDER < 18 AND CIVST <> 'U'").count() == 0
+    shares = dict(rows(bef.where("ALDER >= 25").groupBy("CIVST").count()))
+    total = sum(shares.values())
+    assert abs(shares["G"] / total - 0.5) < 0.05 and abs(shares["U"] / total - 0.3) < 0.05
+
+
+def test_education_capped(spark):
+    uddf = syn.synth_population(spark, 2000, [2022], ["UDDF"])["UDDF"]
+    assert uddf.count() > 1900
+    assert uddf.where("HF_VFRA > HF_VTIL").count() == 0
+    assert uddf.where("HFAUDD IS NULL").count() == 0
+
+
+def test_write_keeps_existing(spark, tmp_path):
+    out = str(tmp_path / "gen")
+    people = syn.Population(50)
+    first = {"IND": syn.synth_register(syn.register_rows(spark, 50, [2005, 2006]), "IND", people)}
+    syn.synth_write(first, out)
+    more = {"IND": syn.synth_register(syn.register_rows(spark, 80, [2005]), "IND", people)}
+    syn.synth_write(more, out)
+    assert read_register(spark, f"{out}/ind", years=[2005]).count() == 50
+    syn.synth_write(more, out, force=True)
+    assert read_register(spark, f"{out}/ind", years=[2005]).count() == 80
+
+
+def test_family_history_rules(spark):
+    events = spark.createDataFrame(
+        [("p", 2000, "divorce", 40, 1), ("p", 2000, "death", 40, 2), ("q", 2001, "child_moving_out", 17, 3),
+         ("q", 2002, "child_moving_out", 18, 4), ("r", 2000, "move", 30, 5)],
+        "person_id string, year int, event_type string, age int, event_id int",
+    )
+    assert rows(syn.family_history(events)) == [("p", 2000, "F2"), ("q", 2002, "F4")]
