@@ -192,5 +192,5 @@ def income_comparison(t):
 )
 def _(t):
     return studies.education_cohort(
-        t["r_snapshot"], t["r_mfr"], t["r_uddf"], t["r_diag"], t["r_adm"], ranges(t), 2000, 2018, 5
+        t["r_snapshot"], t["r_mfr"], t["r_diag"], t["r_adm"], ranges(t), 2000, 2018, 5
     )

@@ -50,7 +50,7 @@ ROLES = {
     "r_opr": """
         SELECT l_orderkey AS RECNUM, concat('O', CAST(l_partkey AS STRING)) AS C_OPR,
                CAST(l_shipdate AS DATE) AS D_ODTO, l_linestatus AS sector
-        FROM {lineitem} WHERE l_linenumber <= 2""",
+        FROM {lineitem}""",
     "r_ind": """
         SELECT o_custkey AS PNR, CAST(year(o_orderdate) AS INT) AS year,
                CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS PERINDKIALT_13,
@@ -84,15 +84,15 @@ ROLES = {
                CAST(20 + child_id % 25 AS INT) AS GESTATIONSALDER_BARN
         FROM {r_child}""",
     "r_dod": """
-        SELECT PNR, make_date(max(year), 1, 1) AS DODDATO
-        FROM {r_akm} WHERE PNR % 3 = 0 GROUP BY PNR""",
+        SELECT o_custkey AS PNR, CAST(max(o_orderdate) AS DATE) AS DODDATO
+        FROM {orders} WHERE o_orderstatus = 'P' AND o_orderpriority = '1-URGENT' GROUP BY o_custkey""",
     "r_dodsaars": """
-        SELECT PNR, max(concat('A', substr(CAST(ARBGNR AS STRING), 1, 2))) AS C_DOD1,
+        SELECT o_custkey AS PNR, max(concat('A', CAST(o_orderkey AS STRING))) AS C_DOD1,
                CAST(count(*) AS STRING) AS C_DODSMAADE
-        FROM {r_idan} WHERE PNR % 4 = 0 GROUP BY PNR""",
+        FROM {orders} WHERE o_orderstatus = 'F' AND o_orderpriority = '2-HIGH' GROUP BY o_custkey""",
     "r_dodsaasg": """
-        SELECT PNR, max(SOCIO13) AS C_DODTILGRUNDL_ACME
-        FROM {r_ind} WHERE PNR % 5 = 0 GROUP BY PNR""",
+        SELECT o_custkey AS PNR, max(concat('E', CAST(o_orderkey AS STRING))) AS C_DODTILGRUNDL_ACME
+        FROM {orders} WHERE o_orderstatus = 'O' AND o_orderpriority = '3-MEDIUM' GROUP BY o_custkey""",
     "r_lmdb": """
         SELECT l_suppkey AS PNR12, concat('A', CAST(l_partkey AS STRING)) AS ATC,
                CAST(l_shipdate AS DATE) AS EKSD, l_quantity AS VOLUMEN, l_tax AS STYRKE,

@@ -133,3 +133,14 @@ def not_in_code_ranges(df: DataFrame, code: str, ranges: DataFrame) -> DataFrame
     """Rows of ``df`` with a code outside all ranges; a NULL code is in neither set."""
     index = range_index(ranges)
     return df.where(F.col(code).isNotNull()).join(index, _in_range(df[code], index), "left_anti")
+
+
+def mark_code_ranges(df: DataFrame, code: str, ranges: DataFrame, flag: str) -> DataFrame:
+    """``df`` with a boolean ``flag``: does the code lie in some range?
+
+    A left join, so a code in several overlapping ranges repeats its row; use it below an aggregation that does
+    not count rows.
+    """
+    index = range_index(ranges)
+    marked = df.join(index, _in_range(df[code], index), "left")
+    return marked.select(*[df[c] for c in df.columns], index["lo"].isNotNull().alias(flag))

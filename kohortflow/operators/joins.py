@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _merge_left(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+def merge_left(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left join; columns in both sides are kept once, the left value first."""
     shared = [c for c in right.columns if c in left.columns and c not in keys]
     renamed = right.select(*keys, *[F.col(c).alias(f"__right_{c}") for c in right.columns if c not in keys])
@@ -48,7 +48,7 @@ def full_outer_merge(tables: Sequence[DataFrame], keys: Sequence[str]) -> DataFr
             earlier = reduce(DataFrame.union, [t.select(*keys) for t in tables[:i]]).dropna().distinct()
             part = table.join(earlier, list(keys), "left_anti")
         for later in tables[i + 1 :]:
-            part = _merge_left(part, later, keys)
+            part = merge_left(part, later, keys)
         parts.append(part)
     united = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     return united.select(*columns)
@@ -108,12 +108,16 @@ def person_child(bef: DataFrame, child: DataFrame) -> DataFrame:
 
 
 def person_family(bef: DataFrame, family: DataFrame | None = None) -> DataFrame:
-    """Persons with family and role. The family table defaults to the distinct families of ``bef``."""
+    """Persons with family and role.
+
+    The family table defaults to the families of ``bef``, which every row with a family matches: no join.
+    """
     if family is None:
-        family = bef.select(F.col("FAMILIE_ID").alias("family_id")).dropna().distinct()
-    return bef.join(
-        family.select(F.col("family_id").alias("__family")), F.col("FAMILIE_ID") == F.col("__family")
-    ).select(
+        linked = bef.where(F.col("FAMILIE_ID").isNotNull())
+    else:
+        known = family.select(F.col("family_id").alias("__family"))
+        linked = bef.join(known, F.col("FAMILIE_ID") == F.col("__family"))
+    return linked.select(
         F.col("PNR").cast("string").alias("person_id"),
         F.col("FAMILIE_ID").cast("string").alias("family_id"),
         F.col("PLADS").cast("string").alias("role"),

@@ -31,12 +31,16 @@ def propensity_logit(df: DataFrame, treated: str, features: Sequence[str]) -> Da
 
 
 def _pair_in_bins(df: DataFrame, treated: str, key: str, position: Column) -> DataFrame:
-    """k-th treated with k-th control of each caliper-wide bin; both are numbered in score order."""
-    binned = df.withColumn("__pos", position).withColumn("__bin", F.floor("__pos"))
-    draw = F.col("__pos") - F.col("__bin")
+    """k-th treated with k-th control of each caliper-wide bin.
+
+    Both are numbered in hash order, not score order: any two rows of a bin are close enough, and a hash still
+    spreads a bin over many tasks when most of its rows have the same score.
+    """
+    binned = df.withColumn("__bin", F.floor(position))
+    draw = F.shiftrightunsigned(F.xxhash64(key), 11).cast("double") / F.lit(float(2**53))
     sides = [
         rank_in_strata(
-            binned.where(F.col(treated) == flag).select("__bin", "__pos", key, "logit"),
+            binned.where(F.col(treated) == flag).select("__bin", key, "logit"),
             ["__bin"],
             draw,
             key,

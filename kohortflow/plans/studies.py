@@ -7,14 +7,13 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kohortflow.functions.codes import in_code_ranges
+from kohortflow.functions.codes import in_code_ranges, mark_code_ranges
 from kohortflow.functions.exprs import known_at
 from kohortflow.operators.aggregates import mean_by_year
 from kohortflow.operators.cohort import (
     exact_match,
     exposed_group,
     exposure_weights,
-    record_split,
     severe_chronic_cases,
     unexposed_pool,
 )
@@ -91,7 +90,6 @@ def child_health_records(children: DataFrame, diag: DataFrame, adm: DataFrame) -
 def education_cohort(
     bef: DataFrame,
     mfr: DataFrame,
-    uddf: DataFrame,
     diag: DataFrame,
     adm: DataFrame,
     codes: DataFrame,
@@ -101,15 +99,22 @@ def education_cohort(
 ) -> DataFrame:
     """Distinct persons among eligible children and in the exposed and unexposed record groups.
 
-    Parent education is left-joined and adds no rows, so the counts need the children's numbers only; the
-    three counts are united rather than collected one by one.
+    Parent education is left-joined and adds no rows, so the counts need the children's numbers only. Records
+    are marked as in or not in the list, reduced to one row per child, and all three counts come from that: the
+    health registers are read once. Only which codes a contact has matters, so those are made distinct first.
     """
-    children = eligible_children(bef, mfr, start_year, end_year, max_age)
-    linked = child_health_records(children.select("PNR").distinct(), diag, adm.select("RECNUM", "PNR"))
-    exposed, unexposed = record_split(linked, codes)
-    groups = [("eligible", children), ("exposed", exposed), ("unexposed", unexposed)]
-    out = None
-    for name, df in groups:
-        row = df.agg(F.count_distinct("PNR").alias("n_persons")).select(F.lit(name).alias("cohort"), "n_persons")
-        out = row if out is None else out.unionByName(row)
-    return out
+    children = eligible_children(bef, mfr, start_year, end_year, max_age).select("PNR").distinct()
+    marked = mark_code_ranges(diag.select("RECNUM", "C_DIAG").where(F.col("C_DIAG").isNotNull()), "C_DIAG", codes, "hit")
+    contacts = marked.groupBy("RECNUM").agg(F.bool_or("hit").alias("inside"), F.bool_or(~F.col("hit")).alias("outside"))
+    persons = (
+        contacts.join(adm.select("RECNUM", "PNR"), "RECNUM")
+        .groupBy("PNR")
+        .agg(F.bool_or("inside").alias("inside"), F.bool_or("outside").alias("outside"))
+    )
+    counts = children.join(persons, "PNR", "left").agg(
+        F.count(F.lit(1)).alias("eligible"),
+        F.count_if("inside").alias("exposed"),
+        F.count_if("outside").alias("unexposed"),
+    )
+    cells = [F.struct(F.lit(c).alias("cohort"), F.col(c).alias("n_persons")) for c in counts.columns]
+    return counts.select(F.inline(F.array(*cells)))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from kohortflow.operators.aggregates import latest_per_key, null_first_desc
 from kohortflow.operators.cohort import treatment_period
-from kohortflow.operators.joins import full_outer_merge, person_child, person_family
+from kohortflow.operators.joins import full_outer_merge, merge_left, person_child, person_family
 from kohortflow.operators.projection import require_columns, typed_projection
 from kohortflow.sources.registers import union_registers
 
@@ -193,7 +193,11 @@ def person_table(
     persons = typed_projection(bef, columns, "BEF")
     if persons is None or dod is None or dodsaars is None or dodsaasg is None:
         return persons
-    return persons.join(death_table(dod, dodsaars, dodsaasg), "person_id", "left")
+    # Left joins one by one give the rows of a left join with the fully merged registers: what only a death
+    # register has drops out anyway. All sides are partitioned by person.
+    for register in (dod, dodsaars, dodsaasg):
+        persons = merge_left(persons, typed_projection(register, DEATH, "Death"), ["person_id"])
+    return persons
 
 
 def birth_table(ftbarn: DataFrame | None) -> DataFrame | None:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from kohortflow.functions.codes import icd_range_join, parse_code_list, severe_chronic_list
 from kohortflow.operators import aggregates as ag
-from kohortflow.operators.cohort import exact_match, rank_in_strata
+from kohortflow.operators.cohort import exact_match, outcome_by_period, rank_in_strata
 from kohortflow.operators.joins import full_outer_merge
 
 N = 60_000
@@ -61,7 +61,7 @@ def test_latest_per_key_combines_before_the_shuffle(spark, small_skew_settings):
 
 
 def test_quantiles_of_one_group_move_few_rows(spark, small_skew_settings):
-    df = spark.range(200_000).select(F.lit("all").alias("g"), (F.xxhash64("id") % 10_000_000 / 7).alias("v"))
+    df = spark.range(200_000).select((F.col("id") < 0).cast("int").alias("g"), (F.xxhash64("id") % 10_000_000 / 7).alias("v"))
     probs = {"a": 0.25, "b": 0.5, "c": 0.75}
     out = ag.group_quantiles(df, ["g"], "v", probs)
     want = df.agg(F.percentile("v", F.lit(list(probs.values())))).first()[0]
@@ -92,3 +92,13 @@ def test_range_join_is_a_hash_join_with_and_without_broadcast(spark, small_skew_
     plan = final_plan(icd_range_join(df, "code", ranges))
     assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_hot_child_is_split_although_an_aggregation_follows(spark, small_skew_settings):
+    exposed = spark.range(6000).select(F.col("id").alias("child_id"), F.lit("2001-01-01").cast("date").alias("index_date"))
+    events = hot(spark, "v").select("k", F.date_add(F.lit("2001-01-01").cast("date"), (F.col("v") % 900).cast("int")).alias("d"), "v")
+    out = outcome_by_period(exposed, events, "k", "d", "v", {"one": 1, "five": 5})
+    plan = final_plan(out)
+    assert "skew=true" in plan
+    want = events.where("datediff(d, DATE '2001-01-01') <= 365").groupBy("k").agg(F.sum("v").alias("s"))
+    assert rows(out.where("sum_one IS NOT NULL"), "child_id", "sum_one") == rows(want, "k", "s")
