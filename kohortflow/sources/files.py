@@ -55,8 +55,14 @@ def _decodes(df: DataFrame) -> bool:
     ).isEmpty()
 
 
-def _inferred(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
-    """Narrowest of bigint, double, date that fits all non-NULL values of each column; one pass for all."""
+def with_inferred_types(df: DataFrame, string_cols: Sequence[str] = IDENTIFIERS) -> DataFrame:
+    """String columns as the narrowest of bigint, double, date that fits all their values; one pass for all."""
+    columns = [c for c, kind in df.dtypes if kind == "string" and c not in string_cols]
+    found = _fitting_types(df, columns)
+    return df.select(*[F.col(c).try_cast(found[c]).alias(c) if c in found else F.col(c) for c in df.columns])
+
+
+def _fitting_types(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
     kinds = ("bigint", "double", "date")
     fits = [
         F.bool_and(F.col(c).isNull() | F.col(c).try_cast(k).isNotNull()).alias(f"{i}_{k}")
@@ -84,8 +90,9 @@ def read_csv(
 ) -> DataFrame:
     """CSV with null tokens, encoding fall-back and identifiers kept as strings.
 
-    ``types`` names the target types (no further pass). Without it they are inferred from the whole file. An
-    encoding is taken when no value shows a decoding error; pass a single encoding to skip that pass.
+    ``types`` names the target types (no further pass; an empty mapping leaves all columns strings). Without it
+    they are inferred from the whole file. An encoding is taken when no value shows a decoding error; pass a
+    single encoding to skip that pass.
     """
     paths = [path] if isinstance(path, str) else list(path)
     raw = _raw_csv(spark, paths, encodings[0])
@@ -100,7 +107,7 @@ def read_csv(
 
     text = raw.select(*[cleaned(c) for c in raw.columns])
     if types is None:
-        types = _inferred(text, [c for c in text.columns if c not in string_cols])
+        return with_inferred_types(text, string_cols)
     return text.select(
         *[
             F.col(c).try_cast(types[c]).alias(c) if c in types and c not in string_cols else F.col(c)

@@ -8,7 +8,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from kohortflow.sources.files import read_csv, source_path
+from kohortflow.sources.files import IDENTIFIERS, read_csv, source_path, with_inferred_types
+from kohortflow.sources.registers import union_registers
 
 # Fixed value: register name followed by the period digits.
 NAME_PATTERN = r"^([a-zA-Z_]+)(\d+)"
@@ -60,11 +61,10 @@ def ingest_registers(spark: SparkSession, in_dir: str, out_dir: str) -> list[str
         if "parquet" in by_kind:
             df = spark.read.option("mergeSchema", "true").parquet(*by_kind["parquet"])
             frames.append(df.select("*", source_path().alias("__path")))
-        for path in by_kind.get("csv", []):
-            frames.append(read_csv(spark, path).withColumn("__path", F.lit(path)))
-        table = frames[0]
-        for other in frames[1:]:
-            table = table.unionByName(other, allowMissingColumns=True)
+        if "csv" in by_kind:  # headers may differ by file, types must not
+            texts = [read_csv(spark, p, types={}).withColumn("__path", F.lit(p)) for p in by_kind["csv"]]
+            frames.append(with_inferred_types(union_registers(texts), [*IDENTIFIERS, "__path"]))
+        table = union_registers(frames)
         stem = file_stem(F.col("__path"))
         out = table.select(
             *[F.col(c) for c in table.columns if c not in ("__path", "year")],

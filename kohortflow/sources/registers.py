@@ -10,12 +10,12 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kohortflow.sources.files import IDENTIFIERS, file_format, read_csv, source_path
+from kohortflow.sources.files import IDENTIFIERS, file_format, read_csv, source_path, with_inferred_types
 
 
 def _scan(spark: SparkSession, paths: list[str], fmt: str) -> DataFrame:
     if fmt == "csv":
-        return read_csv(spark, paths)
+        return read_csv(spark, paths, types={})
     return spark.read.option("mergeSchema", "true").parquet(*paths)
 
 
@@ -54,9 +54,10 @@ def read_register(
     monthly = "{month}" in pattern or "{yearmonth}" in pattern
     if not periodic:
         try:
-            return _scan(spark, [f"{location}/{pattern}"], fmt)
+            single = _scan(spark, [f"{location}/{pattern}"], fmt)
         except AnalysisException:
             return None
+        return with_inferred_types(single) if fmt == "csv" else single
     month_glob = "[0-9][0-9]" if month in (None, "*") else f"{int(month):02d}"
     year_list = [f"{y:04d}" for y in years] if years else ["[0-9][0-9][0-9][0-9]"]
 
@@ -89,7 +90,8 @@ def read_register(
         frames.append(df)
     if not frames:
         return None
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    table = union_registers(frames)
+    return with_inferred_types(table) if fmt == "csv" else table  # one type per column over all years
 
 
 def read_registers(

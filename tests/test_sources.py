@@ -74,6 +74,19 @@ def test_register_csv_years(spark, tmp_path):
     assert rows(out, "PNR", "V", "year") == [("01", 1, 2001), ("02", 2, 2002)]
 
 
+def test_csv_column_empty_in_one_year_gets_one_type(spark, tmp_path):
+    d = tmp_path / "types"
+    d.mkdir()
+    text(d / "k_2001.csv", "PNR,V,D\n01,NA,2001-05-06\n")
+    text(d / "k_2002.csv", "PNR,V,D\n02,2.5,NA\n")
+    text(d / "k_2003.csv", "PNR,V,D\n03,7,\n")
+    out = read_register(spark, str(d), "k_{year}.csv", [2001, 2002, 2003])
+    assert dict(out.dtypes) == {"PNR": "string", "V": "double", "D": "date", "year": "int"}
+    ingest.ingest_registers(spark, str(d), str(tmp_path / "out"))
+    got = spark.read.parquet(f"{tmp_path}/out/registers/k")
+    assert rows(got, "PNR", "V", "year") == [("01", None, 2001), ("02", 2.5, 2002), ("03", 7.0, 2003)]
+
+
 def test_own_years_override(spark, tmp_path):
     d = str(tmp_path / "o")
     put(d, "u_2001.parquet", PNR=["a"])
