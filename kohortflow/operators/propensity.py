@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.pipeline import Pipeline
 from pyspark.sql import Column, DataFrame
@@ -19,9 +19,8 @@ def propensity_logit(df: DataFrame, treated: str, features: Sequence[str]) -> Da
     """``df`` with ``logit``, the log odds of ``treated`` from a logistic regression on the features."""
     model = Pipeline(
         stages=[
-            VectorAssembler(inputCols=list(features), outputCol="__raw"),
-            StandardScaler(inputCol="__raw", outputCol="__x", withMean=True),
-            LogisticRegression(
+            VectorAssembler(inputCols=list(features), outputCol="__x"),
+            LogisticRegression(  # standardises the features itself
                 featuresCol="__x", labelCol=treated, rawPredictionCol="__margin", maxIter=25, regParam=1e-4
             ),
         ]

@@ -14,6 +14,15 @@ from kohortflow.sources.registers import read_register, read_registers, union_re
 from kohortflow.streaming.incremental import incremental_ingest
 
 
+def files_read(df):
+    """Files the scan of an executed plan opened."""
+    plan = df._jdf.queryExecution().executedPlan()
+    leaves = plan.collectLeaves()
+    while not leaves.head().metrics().contains("numFiles"):  # inside an adaptive plan
+        leaves = leaves.head().executedPlan().collectLeaves()
+    return leaves.head().metrics().apply("numFiles").value()
+
+
 def put(folder, name, **columns):
     os.makedirs(folder, exist_ok=True)
     pq.write_table(pa.table(columns), f"{folder}/{name}")
@@ -44,6 +53,7 @@ def test_register_filter_on_year_prunes_files(spark, tmp_path):
         put(d, f"p_{y}.parquet", PNR=[str(y)])
     out = read_register(spark, d, "p_{year}.parquet").where("year = 2002")
     assert rows(out, "PNR") == [("2002",)]
+    assert files_read(out) == 1
 
 
 def test_register_months(spark, tmp_path):
