@@ -89,6 +89,20 @@ def summary_columns(df: DataFrame) -> DataFrame:
 check("group_summary", SUMMARY_SQL)(
     lambda t: summary_columns(ag.group_summary(flagged(t), "l_returnflag", NUMERIC))
 )
+WIDE_SQL = ", ".join(
+    f"""round(avg({c}), 3) AS {c}_mean, round(median({c}), 3) AS {c}_median,
+        round(stddev_samp({c}), 3) AS {c}_std, min({c}) AS {c}_min, max({c}) AS {c}_max"""
+    for c in NUMERIC
+)
+check(
+    "group_summary_wide",
+    f"""SELECT g AS l_returnflag, {WIDE_SQL}
+        FROM (SELECT *, nullif(l_returnflag, 'N') AS g FROM lineitem) GROUP BY g""",
+)(
+    lambda t: ag.wide_summary(
+        summary_columns(ag.group_summary(flagged(t), "l_returnflag", NUMERIC)), "l_returnflag", NUMERIC
+    )
+)
 COUNTS_SQL = " UNION ALL ".join(
     f"""SELECT nullif(l_returnflag, 'N') AS l_returnflag, '{c}' AS variable, CAST({c} AS VARCHAR) AS value,
                count(*) AS n

@@ -130,6 +130,16 @@ def group_summary(df: DataFrame, group: str, columns: Sequence[str]) -> DataFram
     )
 
 
+def wide_summary(summary: DataFrame, group: str, columns: Sequence[str]) -> DataFrame:
+    """:func:`group_summary` with one row per group and columns ``<variable>_mean``, ``<variable>_median``, ..."""
+    cells = [
+        F.max(F.when(F.col("variable") == c, F.col(s))).alias(f"{c}_{s}")
+        for s in ("mean", "median", "std", "min", "max")
+        for c in columns
+    ]
+    return summary.groupBy(group).agg(*cells)
+
+
 def value_counts(df: DataFrame, group: str, columns: Sequence[str]) -> DataFrame:
     """Rows per group, variable and category, NULL as a category; long form, no list per group."""
     return long_form(df, [group], columns, "string").groupBy(group, "variable", "value").agg(

@@ -83,8 +83,11 @@ def parent_education(children: DataFrame, uddf: DataFrame) -> DataFrame:
 
 
 def child_health_records(children: DataFrame, diag: DataFrame, adm: DataFrame) -> DataFrame:
-    """Children with the diagnoses of their admissions."""
-    return children.join(diag.join(adm, "RECNUM"), "PNR")
+    """Children with the diagnoses of their admissions.
+
+    Admissions meet the children first, so the diagnoses, the largest table, are shuffled once only.
+    """
+    return children.join(adm, "PNR").join(diag, "RECNUM")
 
 
 def education_cohort(
