@@ -18,7 +18,7 @@ from kohortflow.operators.cohort import (
     unexposed_pool,
 )
 from kohortflow.operators.joins import link_children_to_parents, link_parent_education, parental_income
-from kohortflow.operators.projection import eligible_children
+from kohortflow.operators.projection import eligible_children, require_columns
 from kohortflow.plans.tables import child_table, diagnosis_table, person_table, person_year_income
 
 
@@ -58,13 +58,16 @@ def income_study(registers: Mapping[str, DataFrame | None], codes: DataFrame) ->
     """
     get = registers.get
     sectors = [(get(f"{s}_DIAG"), get(f"{s}_ADM")) for s in ("LPR", "PRIV", "PSYK")]
-    bef = registers["BEF"]
+    bef = require_columns(get("BEF"), ["PNR", "MOR_ID", "FAR_ID"], "BEF")
     tables = {
         "Diagnosis": diagnosis_table(sectors, lambda d: in_code_ranges(d, "C_DIAG", codes)),
-        "Child": child_table(registers["MFR"]),
-        "Person": person_table(bef.select(*[c for c in ("PNR", "year", "MOR_ID", "FAR_ID") if c in bef.columns])),
-        "Income": person_year_income(registers["IND"]),
+        "Child": child_table(get("MFR")),
+        "Person": person_table(bef.select("PNR", "MOR_ID", "FAR_ID", *[c for c in ("year", "month") if c in bef.columns])),
+        "Income": person_year_income(get("IND")),
     }
+    missing = [name for name, df in tables.items() if df is None]
+    if missing:
+        raise ValueError(f"no registers for {', '.join(missing)}")
     return income_comparison(tables, codes, mode="any")
 
 

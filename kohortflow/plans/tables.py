@@ -177,8 +177,8 @@ def person_table(
 ) -> DataFrame | None:
     """Persons with death data, if all three death registers are there.
 
-    The register is a yearly snapshot: the last one of each person is kept, or every one on request, with its
-    year as ``snapshot_year``.
+    The register is a yearly or monthly snapshot: the last one of each person is kept, or every one on request,
+    with its year as ``snapshot_year``.
     """
     if bef is None:
         return None
@@ -186,10 +186,11 @@ def person_table(
     if "year" in bef.columns:
         columns.append(("year", "snapshot_year", "int"))
         wanted = [s for s, _, _ in columns if s in bef.columns]
-        bef = bef.select(*wanted)
+        period = [c for c in ("year", "month") if c in bef.columns]
+        bef = bef.select(*wanted, *period[1:])
         if not all_snapshots:
             rest = [c for c in wanted if c not in ("PNR", "year")]
-            bef = latest_per_key(bef, ["PNR"], [F.col("year"), *[F.col(c) for c in rest]])
+            bef = latest_per_key(bef, ["PNR"], [F.col(c) for c in (*period, *rest)], wanted)
     persons = typed_projection(bef, columns, "BEF")
     if persons is None or dod is None or dodsaars is None or dodsaasg is None:
         return persons

@@ -138,6 +138,28 @@ def test_record_split_child_in_both(spark):
     assert rows(inside) == [("a", "C10")] and rows(outside) == [("a", "B10")]
 
 
+def test_income_study_on_small_registers(spark):
+    """Two exposed diagnoses, one match; means weighted by how often a child is in a cohort."""
+    d = date(2003, 5, 1)
+    frame = spark.createDataFrame
+    registers = {
+        "LPR_DIAG": frame([("1", "C10.1"), ("2", "C20"), ("3", "B10")], "RECNUM string, C_DIAG string"),
+        "LPR_ADM": frame([("1", "a", d), ("2", "a", d + timedelta(days=1)), ("3", "b", d)],
+                         "RECNUM string, PNR string, D_INDDTO date"),
+        "MFR": frame([("a", "F1", BIRTH), ("b", "F2", BIRTH), ("x", "F3", date(2002, 1, 1))],
+                     "CPR_BARN string, FAMILIE_ID string, FOEDSELSDATO date"),
+        "BEF": frame([("a", 2002, "old", "fa"), ("a", 2003, "ma", "fa"), ("b", 2003, "mb", "mb"), ("x", 2003, "mx", "fx")],
+                     "PNR string, year int, MOR_ID string, FAR_ID string"),
+        "IND": frame([("ma", 2004, 10.0), ("fa", 2004, 20.0), ("mb", 2004, 100.0), ("old", 2004, 999.0), ("mx", 2004, 7.0),
+                      ("mb", 2005, 50.0)], "PNR string, year int, PERINDKIALT_13 double"),
+    }
+    out = rows(studies.income_study(registers, ranges(spark)))
+    # exposed: a twice -> 30; matched pool: a and b twice each -> (30 + 100) / 2; 2005 has no exposed income
+    assert out == [(2004, 30.0, 65.0)]
+    with pytest.raises(ValueError, match="Income"):
+        studies.income_study({**registers, "IND": None}, ranges(spark))
+
+
 def test_latest_education_unknown_start_wins(spark):
     df = spark.createDataFrame([("p", "10", date(2000, 1, 1)), ("p", "20", None), ("q", "30", date(2001, 1, 1)), ("q", "40", date(2000, 1, 1))],
                                "PNR string, HFAUDD string, HF_VFRA date")

@@ -248,6 +248,9 @@ def test_person_table_keeps_last_snapshot(spark):
     bef = spark.createDataFrame([("p", 2000, "U"), ("p", 2001, "G"), ("q", 2000, "E")], "PNR string, year int, CIVST string")
     assert rows(at.person_table(bef), "person_id", "civil_status", "snapshot_year") == [("p", "G", 2001), ("q", "E", 2000)]
     assert at.person_table(bef, all_snapshots=True).count() == 3
+    monthly = spark.createDataFrame([("p", 2001, 3, "U"), ("p", 2001, 9, "G"), ("p", 2000, 12, "X")],
+                                    "PNR string, year int, month int, CIVST string")
+    assert rows(at.person_table(monthly), "person_id", "civil_status", "snapshot_year") == [("p", "G", 2001)]
     assert at.person_table(None) is None
 
 
