@@ -45,11 +45,14 @@ def tuned(spark: SparkSession) -> SparkSession:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the session's shared checkpoint folder."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(scratch_dir(df.sparkSession, "checkpoint"))
-    return df.checkpoint()
+    """``df`` written as a table to the shared scratch folder and read back.
+
+    Columnar and free of the plan behind it; ``checkpoint()`` also fails in a session that has used an
+    ``Observation``, as :func:`kohortflow.sources.ingest.safe_write` does.
+    """
+    path = f"{scratch_dir(df.sparkSession, 'step')}/data"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:

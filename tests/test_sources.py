@@ -7,7 +7,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from kohortflow.session import scratch_dir
+from kohortflow.session import cut_lineage, scratch_dir
 from kohortflow.sources import ingest
 from kohortflow.sources.files import file_format, read_csv, read_file
 from kohortflow.sources.registers import read_register, read_registers, union_registers
@@ -187,6 +187,11 @@ def test_safe_write_replaces_and_keeps_on_failure(spark, tmp_path, monkeypatch):
     assert [n for n in os.listdir(tmp_path) if "staging" in n] == []
 
 
+def test_lineage_can_be_cut_after_a_verified_write(spark, tmp_path):
+    ingest.safe_write(spark.range(3), str(tmp_path / "t"))
+    assert cut_lineage(spark.range(4).where("id > 0")).count() == 3
+
+
 def test_materialise_reuses_by_fingerprint(spark, tmp_path):
     path = str(tmp_path / "steps")
     assert ingest.materialise(spark.range(3), path, "a").count() == 3
