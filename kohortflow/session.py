@@ -47,8 +47,7 @@ def tuned(spark: SparkSession) -> SparkSession:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """``df`` written as a table to the shared scratch folder and read back.
 
-    Columnar and free of the plan behind it; ``checkpoint()`` also fails in a session that has used an
-    ``Observation``, as :func:`kohortflow.sources.ingest.safe_write` does.
+    Columnar, free of the plan behind it, and as durable as the folder.
     """
     path = f"{scratch_dir(df.sparkSession, 'step')}/data"
     df.write.parquet(path)

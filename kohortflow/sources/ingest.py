@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kohortflow.sources.files import IDENTIFIERS, read_csv, source_path, with_inferred_types
@@ -129,19 +129,19 @@ def _digest(df: DataFrame) -> list[Column]:
 def safe_write(df: DataFrame, path: str) -> None:
     """Write to a staging folder, read back, compare content, then take the target's place.
 
-    The source is evaluated once: its digest is observed while it is written. A failed comparison leaves the
+    Source and copy are each reduced to a digest, without a shuffle of rows. A failed comparison leaves the
     existing target untouched.
     """
     spark = df.sparkSession
     staging = f"{path.rstrip('/')}.staging-{uuid.uuid4().hex}"
-    seen = Observation()
-    df.observe(seen, *_digest(df)).write.parquet(staging)
+    df.write.parquet(staging)
     back = spark.read.parquet(staging)
     digest = back.agg(*_digest(back)).first().asDict()
+    source_digest = df.agg(*_digest(df)).first().asDict()
     hadoop = spark._jvm.org.apache.hadoop.fs
     source, target = hadoop.Path(staging), hadoop.Path(path)
     fs = source.getFileSystem(spark._jsc.hadoopConfiguration())
-    if digest != seen.get:
+    if digest != source_digest:
         fs.delete(source, True)
         raise ValueError(f"verification failed: data written for {path} does not match its source")
     fs.delete(target, True)
