@@ -7,7 +7,7 @@ pairs survive at any depth, while other documents part. 16 independent trees mak
 10^5 (and at the depth most nodes end, 1, rarer than 1 in 10^11).
 
 - Equal word sequences are one class first, so copies cost one row.
-- A node of at most 64 documents is compared exhaustively, on 8-bit sketches; a pair that could be similar is
+- A node of at most 256 documents is compared exhaustively, on 8-bit sketches; a pair that could be similar is
   confirmed on the full shingle sets. A document's best partner is confirmed first, and the rest only where that did
   not connect them anyway.
 - A larger node is first compared with a leader. If its documents are connected then, nothing is left to find. If
@@ -15,7 +15,7 @@ pairs survive at any depth, while other documents part. 16 independent trees mak
   again, down to a fixed depth, where they are compared with all the node however many they are. So no size of a
   node drops a pair.
 
-Nodes are only counted and split by shuffles; no node above 64 is ever in one task. Components are computed
+Nodes are only counted and split by shuffles; no node above 256 is ever in one task. Components are computed
 by star contractions on the links, never on the driver.
 
 Defined results: a null or empty text, or one without words, has no shingles, is linked with nothing and is its own
@@ -26,7 +26,7 @@ counts; a null id is kept apart from all others and never linked. An empty table
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,11 +39,10 @@ from kohortflow.session import cut_lineage
 SHINGLE = 5
 TREES = 16
 COORDINATES = 128
-SMALL = 64  # documents of a node that is compared exhaustively
+SMALL = 256  # documents of a node that is compared exhaustively
 DEPTH = 7
 NEEDED = 75  # percent
-#: Of 128 eight-bit sketches, pairs at 0.75 agree in 96.1 on average with a deviation of 4.9; five deviations less.
-SKETCH_AGREE = 72
+DEVIATIONS = 5  # by which a sketch may fall short of the expected agreement
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -95,18 +94,24 @@ def shingles(text: str | None) -> tuple[np.ndarray, int, int]:
 
 
 _RNG = np.random.default_rng(5)
-FACTORS = _RNG.integers(1, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-OFFSETS = _RNG.integers(0, 1 << 63, COORDINATES, dtype=np.uint64)
+#: First hash of each stretch; the last stretch ends with the range.
+BUCKET_EDGES = np.array([*range(0, 1 << 64, (1 << 64) // COORDINATES), (1 << 64) - 1], np.uint64)
+PROBES = np.array([_RNG.permutation(COORDINATES) for _ in range(COORDINATES)])
 
 
 def minwise(tokens: np.ndarray) -> np.ndarray:
-    """The embedding: for each coordinate the least 32-bit hash of the tokens."""
-    best = np.full(COORDINATES, 0xFFFFFFFF, np.uint32)
-    with np.errstate(over="ignore"):
-        for first in range(0, len(tokens), 512):
-            part = tokens[first : first + 512, None] * FACTORS + OFFSETS
-            np.minimum(best, (part >> np.uint64(32)).astype(np.uint32).min(axis=0), out=best)
-    return best
+    """The embedding, by one permutation: the least token of each of 128 stretches of the hash range.
+
+    An empty stretch takes the token of the first stretch that is not, in an order of its own, so that two sets agree
+    in a coordinate with a probability of their similarity. ``tokens`` are sorted.
+    """
+    edges = np.searchsorted(tokens, BUCKET_EDGES)
+    filled = edges[1:] > edges[:-1]
+    out = tokens[np.minimum(edges[:-1], len(tokens) - 1)].astype(np.uint32)
+    empty = np.flatnonzero(~filled)
+    if len(empty):
+        out[empty] = out[PROBES[empty, filled[PROBES[empty]].argmax(axis=1)]]
+    return out
 
 
 def _batch(schema: pa.Schema, columns: list) -> pa.RecordBatch:
@@ -174,7 +179,9 @@ PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("agree", pa.int32())])
 def _likely(na: np.ndarray, nb: np.ndarray, sa: np.ndarray, sb: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Which pairs may reach the similarity, by their sizes and sketches; how many sketch bytes agree."""
     agree = (sa == sb).sum(axis=1).astype(np.int32)
-    return (100 * np.minimum(na, nb) >= NEEDED * np.maximum(na, nb)) & (agree >= SKETCH_AGREE), agree
+    samples = np.minimum(np.minimum(na, nb), COORDINATES)  # a small set gives fewer independent coordinates
+    least = COORDINATES * (NEEDED / 100 - DEVIATIONS * np.sqrt(NEEDED * (100 - NEEDED) / 1e4 / samples))
+    return (100 * np.minimum(na, nb) >= NEEDED * np.maximum(na, nb)) & (agree >= least), agree
 
 
 def _within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -253,8 +260,8 @@ class _Join:
         self.classes = cut_lineage(classes)
         reps = prepared.join(self.classes.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi").where("n_shingles > 0")
         self.reps = cut_lineage(reps.select(F.col("doc_id").alias("id"), "n_shingles", "tokens", "sketch"))
-        self.links = None
         self.components = None
+        self.tried: list[DataFrame] = []
         self.texts = None
 
     def labelled(self, frame: DataFrame) -> DataFrame:
@@ -263,8 +270,16 @@ class _Join:
             return frame.withColumn("component", F.col("id"))
         return frame.join(self.components, "id", "left").withColumn("component", F.coalesce("component", "id"))
 
+    def untried(self, pairs: DataFrame) -> DataFrame:
+        """Distinct pairs that no earlier level has looked at."""
+        pairs = pairs.groupBy("a", "b").agg(F.max("agree").alias("agree"))
+        return cut_lineage(reduce(lambda left, t: left.join(t, ["a", "b"], "left_anti"), self.tried, pairs))
+
     def confirm(self, pairs: DataFrame) -> None:
         """Confirm pairs on full sets and connect what they link: best partners first, then what is still apart."""
+        if pairs.isEmpty():
+            return
+        self.tried.append(pairs.select("a", "b"))
         best = pairs.groupBy("b").agg(F.max_by("a", F.struct("agree", -F.col("a"))).alias("a")).select("a", "b")
         self._connect(best)
         rest = pairs.select("a", "b").join(best, ["a", "b"], "left_anti")
@@ -272,9 +287,7 @@ class _Join:
             for side in ("a", "b"):
                 rest = rest.join(self.components.select(F.col("id").alias(side), F.col("component").alias(f"c{side}")), side, "left")
             rest = rest.where("coalesce(ca, a) <> coalesce(cb, b)").select("a", "b")
-        rest = cut_lineage(rest)
-        if not rest.isEmpty():
-            self._connect(rest)
+        self._connect(rest)
 
     def _connect(self, pairs: DataFrame) -> None:
         a = self.texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
@@ -282,7 +295,6 @@ class _Join:
         found = cut_lineage(pairs.join(b, "b").join(a, "a").select("a", "b", "ta", "tb").mapInArrow(_confirm, "a long, b long"))
         if found.isEmpty():
             return
-        self.links = found if self.links is None else self.links.union(found)
         # what was connected before is a star already, so only stars and new links are contracted
         before = found if self.components is None else found.union(self.components.select("id", "component"))
         self.components = cut_lineage(connected(before))
@@ -298,15 +310,14 @@ class _Join:
             small = described.where(F.col("n") <= SMALL).select("node", "id", "n_shingles", "component", "sketch")
             pairs = small.repartition("node").sortWithinPartitions("node").mapInArrow(_within, "a long, b long, agree int")
             large = described.where(F.col("n") > SMALL)
-            pairs = pairs.union(self._with_members(large, large.where("id = leader"), "leader"))
-            pairs = cut_lineage(pairs.groupBy("a", "b").agg(F.max("agree").alias("agree")))
+            pairs = pairs.union(self._with_members(large, large.where("id = leader")))
+            pairs = self.untried(pairs)
             if depth == 1:
                 wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).union(large.select("id")).distinct()
                 ids = self.classes.select(F.col("id").alias("doc_id"))
                 self.texts = cut_lineage(self.docs.join(wanted.join(ids, "doc_id", "left_semi"), "doc_id", "left_semi"))
                 released(self.spark)
-            if not pairs.isEmpty():
-                self.confirm(pairs)
+            self.confirm(pairs)
             if large.isEmpty():
                 break
             level = self._unsettled(large.select("node", "id", "leader", "n_shingles", "sketch"), depth)
@@ -317,7 +328,7 @@ class _Join:
             level = cut_lineage(level.join(rep_tokens, "id").select("node", "id", "tokens").mapInArrow(_next, "node long, id long"))
             released(self.spark)
 
-    def _with_members(self, large: DataFrame, some: DataFrame, label: str) -> DataFrame:
+    def _with_members(self, large: DataFrame, some: DataFrame) -> DataFrame:
         """Likely pairs of ``some`` rows of each node with all rows of that node in other components."""
         left = some.select("node", F.col("id").alias("a"), F.col("n_shingles").alias("na"), F.col("sketch").alias("sa"), F.col("component").alias("ca"))
         right = large.select("node", F.col("id").alias("b"), F.col("n_shingles").alias("nb"), F.col("sketch").alias("sb"), F.col("component").alias("cb"))
@@ -335,9 +346,7 @@ class _Join:
         limit = SMALL if depth < DEPTH else 1 << 62
         few = counts.where(F.col("apart") <= limit).select("node")
         some = apart.join(few, "node").select(*rows.columns)
-        pairs = cut_lineage(self._with_members(rows.join(few, "node"), some, "apart").groupBy("a", "b").agg(F.max("agree").alias("agree")))
-        if not pairs.isEmpty():
-            self.confirm(pairs)
+        self.confirm(self.untried(self._with_members(rows.join(few, "node"), some)))
         many = counts.where(F.col("apart") > limit).select("node")
         if many.isEmpty():
             return None
