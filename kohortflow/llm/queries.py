@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kohortflow.llm import mixing, near_dups, packing, quality, substrings
+from kohortflow.llm import chat, mixing, near_dups, packing, pages, quality, reputation, substrings, topk, warc
+from kohortflow.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +34,29 @@ def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.removals(table(spark, folder, "documents"))
 
 
+def op4_page_text(spark: SparkSession, folder: str) -> DataFrame:
+    return pages.extracted(table(spark, folder, "pages"))
+
+
+def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.round_trip(table(spark, folder, "pages"), f"{scratch_dir(spark, 'warc')}/archives")
+
+
+def op6_chat_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.repair(table(spark, folder, "conversations"))
+
+
+def op7_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return topk.nearest(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """Labels are of documents; a page's outcome is the label with its number: good if of quality and not toxic."""
+    labels = table(spark, folder, "labels").selectExpr("doc_id AS page_id", "int(quality = 1 AND coalesce(toxic, 0) = 0) AS good")
+    return reputation.judged(table(spark, folder, "pages"), labels).drop("bound")
+
+
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(table(spark, folder, "documents"), tokenizer_path())
 
@@ -42,7 +66,7 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_near_dups, op3_substring_dedup, op9_packing, op10_mixing)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_near_dups, op3_substring_dedup, op4_page_text, op5_warc, op6_chat_repair, op7_top_k, op8_url_filter, op9_packing, op10_mixing)}
 
 
 OP1_SQL = r"""
@@ -80,5 +104,72 @@ failed AS (
 SELECT *, failed_bits & 3 <> 0 AS base_failed, failed_bits = 0 AS kept FROM failed"""
 
 
+OP5_SQL = r"""
+WITH p AS (
+    SELECT page_id, sha1(encode(coalesce(html, ''))) AS hex, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS n FROM pages),
+d AS (
+    SELECT page_id, n, string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((v >> (15 - 5 * j)) & 31), 1), '' ORDER BY i, j) AS digest
+    FROM (SELECT page_id, n, i, CAST(concat('0x', substr(hex, 1 + 5 * i, 5)) AS BIGINT) AS v
+          FROM p, unnest(generate_series(0, 7)) AS g(i)), unnest(generate_series(0, 3)) AS h(j)
+    GROUP BY page_id, n)
+SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+       CASE WHEN page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id < last THEN last END AS refers_to
+FROM (SELECT *, max(page_id) OVER (PARTITION BY digest, n) AS last FROM d)"""
+
+OP7_SQL = r"""
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e
+    FROM embeddings WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+    SELECT q.vec_id AS query_id, v.vec_id, CAST(list_inner_product(q.e, v.e) AS BIGINT) AS score
+    FROM v AS q, v WHERE q.vec_id % 100 = 0 AND q.vec_id <> v.vec_id),
+r AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10"""
+
+OP8_SQL = r"""
+WITH placed AS (
+    SELECT page_id,
+           translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+    FROM pages),
+outcomes AS (
+    SELECT doc_id AS page_id, sum(CASE WHEN quality = 1 AND coalesce(toxic, 0) = 0 THEN 1 ELSE 0 END) AS good, count(*) AS n
+    FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
+hosts AS (
+    SELECT host, split_part(host, '.', -1) AS suffix,
+           array_to_string(list_slice(string_split(host, '.'), -2, -1), '.') AS domain,
+           CAST(coalesce(sum(good), 0) AS DOUBLE) AS good, CAST(coalesce(sum(n), 0) AS DOUBLE) AS n
+    FROM placed LEFT JOIN outcomes USING (page_id) GROUP BY host),
+domains AS (SELECT domain, suffix, sum(good) AS good, sum(n) AS n FROM hosts GROUP BY domain, suffix),
+suffixes AS (SELECT suffix, sum(good) AS good, sum(n) AS n FROM domains GROUP BY suffix),
+groups AS (
+    SELECT 'h' AS level, good, n FROM hosts UNION ALL SELECT 'd', good, n FROM domains UNION ALL SELECT 's', good, n FROM suffixes),
+moments AS (
+    SELECT level, sum(good) AS g, sum(n) AS n, sum(n * n) AS n2, count(*) AS k, sum(good * good / n) AS w
+    FROM groups WHERE n > 0 GROUP BY level),
+means AS (SELECT *, (g + 1.0) / (n + 2.0) AS mean, n - n2 / n - (k - 1) AS room FROM moments),
+levels AS (
+    SELECT level, mean,
+           least(greatest(1 / least(greatest(CASE WHEN room > 0 THEN
+               (w - 2 * mean * g + mean * mean * n - (k - 1) * mean * (1 - mean)) / room / (mean * (1 - mean)) ELSE 0 END, 0.001), 0.999) - 1, 2.0), 1000.0) AS strength
+    FROM means),
+scored AS (
+    SELECT h.host, h.n + lh.strength AS weight,
+           (h.good + lh.strength * ((d.good + ld.strength * ((s.good + ls.strength * ls.mean) / (s.n + ls.strength))) / (d.n + ld.strength))) / (h.n + lh.strength) AS mean
+    FROM hosts h JOIN domains d USING (domain, suffix) JOIN suffixes s USING (suffix),
+         levels lh, levels ld, levels ls WHERE lh.level = 'h' AND ld.level = 'd' AND ls.level = 's'),
+rules(kind, name, start) AS (
+    VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+ruled AS (
+    SELECT p.page_id, p.host, p.path, r.kind, r.name || r.start AS rule,
+           row_number() OVER (PARTITION BY p.page_id ORDER BY length(r.name || r.start) DESC NULLS LAST) AS place
+    FROM placed p LEFT JOIN rules r ON (p.host = r.name OR ends_with(p.host, '.' || r.name)) AND starts_with(p.path, r.start))
+SELECT page_id, host, path, rule,
+       coalesce(kind, CASE WHEN mean - 1.645 * sqrt(mean * (1 - mean) / (weight + 1)) >= 0.5 THEN 'allow' ELSE 'block' END) AS verdict
+FROM ruled JOIN scored USING (host) WHERE place = 1"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality_rules": OP1_SQL}
+    return {"op1_quality_rules": OP1_SQL, "op5_warc": OP5_SQL, "op7_top_k": OP7_SQL, "op8_url_filter": OP8_SQL}
