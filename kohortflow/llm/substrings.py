@@ -314,8 +314,9 @@ def spans(rows: DataFrame, batches: int = BATCHES) -> DataFrame:
     spark = rows.sparkSession
     small_batches(spark)
     family = IndexFamily(spark)
-    cuts = rows.where(F.col("doc") < LAST).select("doc").approxQuantile("doc", [k / batches for k in range(1, batches)], 0.01)
-    cuts = sorted({int(c) for c in cuts})
+    parts = [k / batches for k in range(1, batches)]
+    cuts = rows.where(F.col("doc") < LAST).agg(F.percentile_approx("doc", parts)).first()[0] if parts else []
+    cuts = sorted(set(cuts or []))
     found = []
     for low, high in zip([None, *cuts], [*cuts, None], strict=True):
         part = rows if low is None else rows.where(F.col("doc") > low)

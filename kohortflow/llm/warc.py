@@ -92,7 +92,10 @@ def _record(data: bytes, at: int) -> tuple[dict[str, str], bytes, int] | str:
     if end < 0:
         return "head does not end"
     lines = data[at:end].decode("utf-8", "replace").split("\r\n")[1:]
-    head = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
+    fields = [(k.strip().lower(), v.strip()) for k, _, v in (x.partition(":") for x in lines)]
+    head = dict(fields)
+    if any(":" not in x for x in lines) or any([k for k, _ in fields].count(name) > 1 for name in ("warc-type", "warc-record-id", "content-length")):
+        return "head runs into another record"
     length = head.get("content-length", "")
     if not (length.isascii() and length.isdigit()):
         return "no length"
