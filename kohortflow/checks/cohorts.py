@@ -121,11 +121,15 @@ def _(t):
 
 @check(
     "pre_post_label",
-    """WITH p AS (SELECT c.family_id, min(d.diagnosis_date) + 700 AS s
-                  FROM {o_cases} d JOIN {o_child} c ON d.person_id = c.child_id GROUP BY c.family_id)
-       SELECT a.RECNUM, p.family_id, a.D_INDDTO, CASE WHEN a.D_INDDTO < p.s THEN 'pre' ELSE 'post' END AS period
-       FROM {r_adm} a JOIN {o_child} c ON CAST(a.PNR AS VARCHAR) = c.child_id JOIN p ON c.family_id = p.family_id
-       WHERE a.D_INDDTO BETWEEN p.s - 365 AND p.s + 1825""",
+    """WITH p AS (SELECT DISTINCT c.family_id, d.diagnosis_date + 700 AS s
+                  FROM {o_cases} d JOIN {o_child} c ON d.person_id = c.child_id),
+            a AS (SELECT a.RECNUM, c.family_id, a.D_INDDTO FROM {r_adm} a JOIN {o_child} c ON CAST(a.PNR AS VARCHAR) = c.child_id)
+       SELECT a.*, 'post' AS period FROM a
+       WHERE EXISTS (SELECT 1 FROM p WHERE p.family_id = a.family_id AND a.D_INDDTO BETWEEN p.s AND p.s + 1825)
+       UNION ALL
+       SELECT a.*, 'pre' FROM a
+       WHERE EXISTS (SELECT 1 FROM p WHERE p.family_id = a.family_id AND a.D_INDDTO BETWEEN p.s - 365 AND p.s)
+         AND NOT EXISTS (SELECT 1 FROM p WHERE p.family_id = a.family_id AND a.D_INDDTO BETWEEN p.s AND p.s + 1825)""",
 )
 def _(t):
     shifted = cases(t).withColumn("diagnosis_date", F.date_add("diagnosis_date", 700))
@@ -144,10 +148,10 @@ PERIODS = {"short": 1, "medium": 5, "long": 10}
     "SELECT e.child_id, e.index_date, "
     + ", ".join(
         f"""count(*) FILTER (a.day - e.index_date BETWEEN 0 AND {n * 365}) AS n_{p},
-            CAST(sum(CASE WHEN a.day - e.index_date BETWEEN 0 AND {n * 365} THEN a.v END) AS DOUBLE) AS sum_{p}"""
+            CAST(coalesce(sum(CASE WHEN a.day - e.index_date BETWEEN 0 AND {n * 365} THEN a.v END), 0) AS DOUBLE) AS sum_{p}"""
         for p, n in PERIODS.items()
     )
-    + """ FROM {o_first} e JOIN (SELECT CAST(o_custkey AS VARCHAR) AS child_id, CAST(o_orderdate AS DATE) AS day,
+    + """ FROM {o_first} e LEFT JOIN (SELECT CAST(o_custkey AS VARCHAR) AS child_id, CAST(o_orderdate AS DATE) AS day,
                                       CAST(o_totalprice AS DECIMAL(18,2)) AS v FROM orders) a
            ON e.child_id = a.child_id GROUP BY ALL""",
 )
@@ -194,3 +198,22 @@ def _(t):
     return studies.education_cohort(
         t["r_snapshot"], t["r_mfr"], t["r_diag"], t["r_adm"], ranges(t), 2000, 2018, 5
     )
+
+
+@check(
+    "education_rows",
+    """WITH linked AS (SELECT a.PNR, EXISTS (SELECT 1 FROM {icd_range} r WHERE d.C_DIAG >= r.lo
+                              AND substr(d.C_DIAG, 1, length(r.hi)) <= r.hi) AS hit
+                       FROM {r_adm} a JOIN {r_diag} d ON a.RECNUM = d.RECNUM),
+            cohort AS (SELECT DISTINCT PNR, CASE WHEN hit THEN 'exposed' ELSE 'unexposed' END AS cohort FROM linked)
+       SELECT e.PNR, x.cohort,
+              CASE WHEN m.HFAUDD IS NOT NULL AND m.HF_VFRA <= e.FOED_DAG THEN m.HFAUDD ELSE 'Unknown' END AS MOR_UDDANNELSE,
+              CASE WHEN f.HFAUDD IS NOT NULL AND f.HF_VFRA <= e.FOED_DAG THEN f.HFAUDD ELSE 'Unknown' END AS FAR_UDDANNELSE
+       FROM {o_eligible} e JOIN cohort x ON e.PNR = x.PNR
+       LEFT JOIN {o_latest} m ON e.MOR_ID = m.PNR LEFT JOIN {o_latest} f ON e.FAR_ID = f.PNR""",
+)
+def _(t):
+    out = studies.education_rows(
+        t["r_snapshot"], t["r_mfr"], t["r_diag"], t["r_adm"], t["r_uddf"], ranges(t), 2000, 2018, 5
+    )
+    return out.select("PNR", "cohort", "MOR_UDDANNELSE", "FAR_UDDANNELSE")

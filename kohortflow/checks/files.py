@@ -1,4 +1,4 @@
-"""Sources, sinks, ingest and synthetic registers."""
+"""Sources, sinks, ingest and the history of families."""
 
 from __future__ import annotations
 
@@ -7,9 +7,7 @@ from pyspark.sql import functions as F
 
 from kohortflow.checks.registry import check
 from kohortflow.checks.roles import Tables
-from kohortflow.functions.exprs import PARENT_AGE_MAX, PARENT_AGE_MIN
-from kohortflow.operators.quality import person_number_check
-from kohortflow.plans import synthetic as syn
+from kohortflow.plans.history import family_history
 from kohortflow.session import scratch_dir
 from kohortflow.sources import ingest
 from kohortflow.sources.files import NULL_TOKENS, read_csv, read_file
@@ -184,97 +182,6 @@ def _(t):
     return ingest.materialise(step, path, "orders-v1")
 
 
-# synthetic registers, one row per row of a given table
-
-
-def people(t: Tables) -> syn.Population:
-    return syn.Population(t["customer"].count())
-
-
-def order_rows(t: Tables) -> DataFrame:
-    return t["orders"].select(F.col("o_orderkey").alias("id"), (F.year("o_orderdate") + 8).alias("year"))
-
-
-@check("synth_register")
-def _(t):
-    return syn.synth_register(order_rows(t), "LPR_ADM", people(t))
-
-
-@check(
-    "synth_population",
-    """SELECT register, n_rows, CAST(0 AS BIGINT) AS n_orphans FROM (
-         SELECT 'LPR_ADM' AS register, count(*) AS n_rows FROM orders UNION ALL
-         SELECT 'IND', count(*) FROM orders UNION ALL SELECT 'LPR_DIAG', count(*) FROM orders)""",
-)
-def _(t):
-    """Rows whose person is not in the last population register, or whose contact has no admission."""
-    crowd, rows = people(t), order_rows(t)
-    bef = syn.synth_register(t["customer"].select((F.col("c_custkey") - 1).alias("id"), F.lit(2023).alias("year")),
-                             "BEF", crowd).select("PNR")
-    adm = syn.synth_register(rows, "LPR_ADM", crowd).select("PNR", "RECNUM")
-
-    def orphans(name: str, df: DataFrame, parent: DataFrame, key: str) -> DataFrame:
-        marked = parent.select(key).distinct().withColumn("known", F.lit(1))
-        return df.join(marked, key, "left").agg(
-            F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("known").isNull()).alias("n_orphans")
-        ).select(F.lit(name).alias("register"), "n_rows", "n_orphans")
-
-    return (
-        orphans("LPR_ADM", adm, bef, "PNR")
-        .unionByName(orphans("IND", syn.synth_register(rows, "IND", crowd).select("PNR"), bef, "PNR"))
-        .unionByName(orphans("LPR_DIAG", syn.synth_register(rows, "LPR_DIAG", crowd).select("RECNUM"), adm, "RECNUM"))
-    )
-
-
-@check(
-    "synth_attributes",
-    """SELECT rule, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_violations
-       FROM customer, (VALUES ('married_minor'), ('education_before_school_end'), ('parent_age'), ('family_missing'))
-            AS r(rule) GROUP BY rule""",
-)
-def _(t):
-    """Rules the attributes keep by construction, counted over one synthetic person per customer."""
-    crowd = people(t)
-    rows = t["customer"].select((F.col("c_custkey") - 1).alias("id"), F.lit(2023).alias("year"))
-    df = crowd.with_attributes(crowd.with_person(rows, "p", "id"), "p", "year")
-    age, born = F.col("p_age"), F.year("p_birth")
-    rules = {
-        "married_minor": (age < 18) & (F.col("p_civil") != "U"),
-        "education_before_school_end": (age >= 30) & (F.year("p_start") - born < 16),
-        "parent_age": ~(born - F.year("p_mother_birth")).between(PARENT_AGE_MIN, PARENT_AGE_MAX),
-        "family_missing": (age >= 25) & F.col("p_family").isNull(),
-    }
-    counts = df.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(r).alias(k) for k, r in rules.items()])
-    cells = [F.struct(F.lit(k).alias("rule"), F.col("n").alias("n_rows"), F.col(k).alias("n_violations")) for k in rules]
-    return counts.select(F.inline(F.array(*cells)))
-
-
-@check(
-    "synth_write",
-    """SELECT CAST(year(o_orderdate) + 8 AS INT) AS year, count(*) AS n_rows FROM orders GROUP BY year(o_orderdate)""",
-)
-def _(t):
-    folder = scratch_dir(t.spark, "synth")
-    registers = {"LPR_ADM": syn.synth_register(order_rows(t), "LPR_ADM", people(t))}
-    syn.synth_write(registers, folder)
-    syn.synth_write(registers, folder)  # what exists is kept
-    return t.spark.read.parquet(f"{folder}/lpr_adm").groupBy("year").agg(F.count(F.lit(1)).alias("n_rows"))
-
-
-@check(
-    "synth_person_numbers",
-    """SELECT rule, CAST(0 AS BIGINT) AS n_violations
-       FROM (VALUES ('birth_date'), ('century_digit'), ('sex_parity')) AS r(rule)""",
-)
-def _(t):
-    crowd = people(t)
-    rows = t["customer"].select((F.col("c_custkey") - 1).alias("id"))
-    df = crowd.with_person(rows, "p", "id").select(
-        F.expr(crowd.number("p")).alias("number"), F.col("p_birth").alias("birth"), F.col("p_sex").alias("sex")
-    )
-    return person_number_check(df, "number", "birth", "sex")
-
-
 @check(
     "family_history",
     """SELECT o_custkey AS person_id, CAST(year(o_orderdate) AS INT) AS year,
@@ -297,4 +204,4 @@ def _(t):
         (F.col("o_custkey") % 40).alias("age"),
         F.col("o_orderkey").alias("event_id"),
     )
-    return syn.family_history(events)
+    return family_history(events)

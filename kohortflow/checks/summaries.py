@@ -289,7 +289,10 @@ check(
 )
 check(
     "person_number_check",
-    """SELECT 'birth_date' AS rule, count(*) FILTER (substr(number, 1, 6) <> strftime(birth_date, '%d%m%y'))
+    """SELECT 'malformed' AS rule, count(*) FILTER (NOT coalesce(regexp_matches(number, '^[0-9][0-9][0-9][0-9][0-9][0-9]-[0-9][0-9][0-9][0-9]$'), false))
+                AS n_violations FROM {r_number}
+       UNION ALL
+       SELECT 'birth_date' AS rule, count(*) FILTER (substr(number, 1, 6) <> strftime(birth_date, '%d%m%y'))
                 AS n_violations FROM {r_number}
        UNION ALL
        SELECT 'century_digit', count(*) FILTER (NOT CAST(substr(number, 8, 1) AS INT) BETWEEN

@@ -70,7 +70,7 @@ def severe_chronic_list(spark: SparkSession) -> DataFrame:
 
 def _items(lists: DataFrame, codes: str, grp: str) -> DataFrame:
     item = F.explode(F.split(codes, ";")).alias("item")
-    return lists.select(F.col(grp).alias("grp"), item).select("grp", F.trim("item").alias("item"))
+    return lists.select(F.col(grp).alias("grp"), item).select("grp", F.upper(F.trim("item")).alias("item"))
 
 
 def parse_code_list(lists: DataFrame, codes: str = "codes", grp: str = "grp") -> DataFrame:
@@ -86,15 +86,29 @@ def endpoint_codes(lists: DataFrame, codes: str = "codes", grp: str = "grp") ->
     return _items(lists, codes, grp).select(F.explode(F.split("item", "-")).alias("code"), "grp")
 
 
-def _prefix_number(code: Column) -> Column:
-    """Order of a code's two-character prefix, letter and digit: A0 -> 0, A1 -> 1, B0 -> 10, ..."""
+def _prefix_number(code: Column, digit: int) -> Column:
+    """Order of a code's two-character prefix, letter and digit: A0 -> 0, A1 -> 1, B0 -> 10, ...
+
+    A letter alone takes ``digit``; anything else has no number.
+    """
     letter = F.ascii(F.substring(code, 1, 1)) - F.lit(ord("A"))
-    return letter * 10 + F.substring(code, 2, 1).cast("int")
+    second = F.when(F.length(code) == 1, F.lit(digit)).otherwise(F.substring(code, 2, 1).try_cast("int"))
+    return F.when(code.rlike("^[A-Z]"), letter * 10 + second)
+
+
+def bad_codes(ranges: DataFrame) -> DataFrame:
+    """Ranges that match nothing because an end is no letter, or letter and digit, or the ends are in no order."""
+    lo, hi = _prefix_number(F.col("lo"), 0), _prefix_number(F.col("hi"), 9)
+    return ranges.where(lo.isNull() | hi.isNull() | (lo > hi))
 
 
 def range_index(ranges: DataFrame) -> DataFrame:
-    """``(lo, hi, grp)`` with one row per two-character prefix the range touches, as an equi-join key."""
-    number = F.explode(F.sequence(_prefix_number(F.col("lo")), _prefix_number(F.col("hi"))))
+    """``(lo, hi, grp)`` with one row per two-character prefix the range touches, as an equi-join key.
+
+    A range in ``bad_codes`` has none.
+    """
+    lo, hi = _prefix_number(F.col("lo"), 0), _prefix_number(F.col("hi"), 9)
+    number = F.explode(F.when(lo <= hi, F.sequence(lo, F.greatest(lo, hi))))
     prefix = F.concat(
         F.char((F.col("number") / 10).cast("int") + F.lit(ord("A"))),
         (F.col("number") % 10).cast("string"),

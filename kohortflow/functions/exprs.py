@@ -58,11 +58,15 @@ def century_digit_bounds(birth_date: Column) -> tuple[Column, Column]:
 
 
 def person_number_rules(number: Column, birth_date: Column, sex: Column) -> dict[str, Column]:
-    """Violations of ``DDMMYY-SXXX``: date part, century digit, parity of the last digit (K even, M odd)."""
-    seventh = F.substring(number, 8, 1).cast("int")
-    last = F.substring(number, 11, 1).cast("int")
+    """Violations of ``DDMMYY-SXXX``: form, date part, century digit, parity of the last digit (K even, M odd).
+
+    A NULL number, or one of another form, is ``malformed``; the other rules judge what they can read of it.
+    """
+    seventh = F.substring(number, 8, 1).try_cast("int")
+    last = F.substring(number, 11, 1).try_cast("int")
     low, high = century_digit_bounds(birth_date)
     return {
+        "malformed": ~F.coalesce(number.rlike("^[0-9]{6}-[0-9]{4}$"), F.lit(False)),
         "birth_date": F.substring(number, 1, 6) != date_digits(birth_date),
         "century_digit": ~seventh.between(low, high),
         "sex_parity": (last % 2) != F.when(sex == "K", 0).otherwise(1),

@@ -206,19 +206,17 @@ def treatment_period(diagnosis: DataFrame, child: DataFrame) -> DataFrame:
 
 
 def pre_post_label(dated: DataFrame, date: str, period: DataFrame) -> DataFrame:
-    """Rows labelled ``pre`` or ``post`` relative to the family's first treatment, others left out.
+    """Rows labelled ``pre`` or ``post`` relative to any treatment of the family, others left out.
 
-    The periods are reduced to the earliest of each family before the join, so that a family with many
-    diagnoses does not multiply its rows.
+    A day after one treatment and before another is ``post``. A family's distinct treatment days are one array, so
+    its rows are not multiplied by its treatments.
     """
-    first = period.groupBy("family_id").agg(F.min("treatment_start_date").alias("treatment_start_date"))
-    day, start = F.col(date), F.col("treatment_start_date")
-    label = F.when(day < start, "pre").otherwise("post")
-    return (
-        dated.join(first, "family_id")
-        .where(day.between(F.date_sub(start, PRE_DAYS), F.date_add(start, POST_DAYS)))
-        .withColumn("period", label)
-    )
+    starts = period.groupBy("family_id").agg(F.collect_set("treatment_start_date").alias("_starts"))
+    day = F.col(date)
+    after = F.exists("_starts", lambda s: day.between(s, F.date_add(s, POST_DAYS)))
+    before = F.exists("_starts", lambda s: day.between(F.date_sub(s, PRE_DAYS), s))
+    labelled = dated.join(starts, "family_id").withColumn("period", F.when(after, "post").when(before, "pre"))
+    return labelled.where(F.col("period").isNotNull()).drop("_starts")
 
 
 def outcome_by_period(
@@ -226,7 +224,8 @@ def outcome_by_period(
 ) -> DataFrame:
     """Count and sum of an outcome within 1, 5, 10 ... years (of 365 days) after each child's index date.
 
-    ``exposed`` has one row per child (``first_index``), so one join serves all periods.
+    ``exposed`` has one row per child (``first_index``), so one join serves all periods. A child without
+    an outcome counts 0.
     """
     days = F.datediff(F.col(date), F.col("index_date"))
     cells = []
@@ -234,11 +233,10 @@ def outcome_by_period(
         inside = days.between(0, length * 365)
         cells += [
             F.count_if(inside).alias(f"n_{name}"),
-            F.sum(F.when(inside, F.col(value))).alias(f"sum_{name}"),
+            F.coalesce(F.sum(F.when(inside, F.col(value))), F.lit(0)).alias(f"sum_{name}"),
         ]
-    return (
-        exposed.select("child_id", "index_date")
-        .join(outcomes.select(F.col(key).alias("child_id"), date, value), "child_id")
-        .groupBy("child_id", "index_date")
-        .agg(*cells)
-    )
+    children = exposed.select("child_id", "index_date")
+    # an inner join can be split on either side, an outer one not on the outcomes'; so children without come last
+    found = children.join(outcomes.select(F.col(key).alias("child_id"), date, value), "child_id").groupBy("child_id", "index_date").agg(*cells)
+    zeros = [F.coalesce(c, F.lit(0)).alias(c) for c in found.columns[2:]]
+    return children.join(found, ["child_id", "index_date"], "left").select("child_id", "index_date", *zeros)

@@ -93,6 +93,37 @@ def child_health_records(children: DataFrame, diag: DataFrame, adm: DataFrame) -
     return children.join(adm, "PNR").join(diag, "RECNUM")
 
 
+def _record_groups(diag: DataFrame, adm: DataFrame, codes: DataFrame) -> DataFrame:
+    """Per person with records: are some ``inside`` the code list, some ``outside``? One scan of the records.
+
+    Only which codes a contact has matters, so those are reduced before the admissions.
+    """
+    marked = mark_code_ranges(diag.select("RECNUM", "C_DIAG").where(F.col("C_DIAG").isNotNull()), "C_DIAG", codes, "hit")
+    contacts = marked.groupBy("RECNUM").agg(F.bool_or("hit").alias("inside"), F.bool_or(~F.col("hit")).alias("outside"))
+    persons = contacts.join(adm.select("RECNUM", "PNR"), "RECNUM")
+    return persons.groupBy("PNR").agg(F.bool_or("inside").alias("inside"), F.bool_or("outside").alias("outside"))
+
+
+def education_rows(
+    bef: DataFrame,
+    mfr: DataFrame,
+    diag: DataFrame,
+    adm: DataFrame,
+    uddf: DataFrame,
+    codes: DataFrame,
+    start_year: int,
+    end_year: int,
+    max_age: int,
+) -> DataFrame:
+    """Eligible children with records, with both parents' education, by ``cohort``: exposed or unexposed records.
+
+    A child with records of both kinds is in both cohorts.
+    """
+    children = parent_education(eligible_children(bef, mfr, start_year, end_year, max_age), uddf)
+    kinds = F.array_compact(F.array(F.when(F.col("inside"), "exposed"), F.when(F.col("outside"), "unexposed")))
+    return children.join(_record_groups(diag, adm, codes), "PNR").withColumn("cohort", F.explode(kinds)).drop("inside", "outside")
+
+
 def education_cohort(
     bef: DataFrame,
     mfr: DataFrame,
@@ -105,18 +136,10 @@ def education_cohort(
 ) -> DataFrame:
     """Distinct persons among eligible children and in the exposed and unexposed record groups.
 
-    Parent education is left-joined and adds no rows, so the counts need the children's numbers only. Records
-    are marked as in or not in the list, reduced to one row per child, and all three counts come from that: the
-    health registers are read once. Only which codes a contact has matters, so those are made distinct first.
+    The rows themselves, with the parents' education, are ``education_rows``.
     """
     children = eligible_children(bef, mfr, start_year, end_year, max_age).select("PNR").distinct()
-    marked = mark_code_ranges(diag.select("RECNUM", "C_DIAG").where(F.col("C_DIAG").isNotNull()), "C_DIAG", codes, "hit")
-    contacts = marked.groupBy("RECNUM").agg(F.bool_or("hit").alias("inside"), F.bool_or(~F.col("hit")).alias("outside"))
-    persons = (
-        contacts.join(adm.select("RECNUM", "PNR"), "RECNUM")
-        .groupBy("PNR")
-        .agg(F.bool_or("inside").alias("inside"), F.bool_or("outside").alias("outside"))
-    )
+    persons = _record_groups(diag, adm, codes)
     counts = children.join(persons, "PNR", "left").agg(
         F.count(F.lit(1)).alias("eligible"),
         F.count_if("inside").alias("exposed"),

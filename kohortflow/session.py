@@ -34,8 +34,7 @@ def tuned(spark: SparkSession) -> SparkSession:
     """Session settings for wide projections and hot keys, on a session that was made elsewhere.
 
     The JVM never compiles a method above 8,000 bytes of bytecode, so a stage fused beyond that runs
-    interpreted. With the limit Spark splits such a stage into smaller compiled pieces (6 times faster for the
-    synthetic registers). By default AQE leaves a skewed join alone when an aggregation on the same key follows,
+    interpreted. With the limit Spark splits such a stage into smaller compiled pieces. By default AQE leaves a skewed join alone when an aggregation on the same key follows,
     because splitting costs that aggregation a shuffle of its own; for a hot key that shuffle, of partial
     results, is by far the smaller price. Equal rows either way.
     """

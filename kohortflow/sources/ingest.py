@@ -121,8 +121,10 @@ def tables_equal(a: DataFrame, b: DataFrame) -> DataFrame:
 def _digest(df: DataFrame) -> list[Column]:
     """Order-independent content digest: row count and two independent hash sums."""
     names = sorted(df.columns)
-    wide = F.xxhash64(*names).cast("decimal(38,0)")
-    narrow = F.hash(*names).cast("bigint")
+    # hashes skip NULLs, so where they are is hashed too
+    parts = [p for c in names for p in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))]
+    wide = F.xxhash64(*parts).cast("decimal(38,0)")
+    narrow = F.hash(*parts).cast("bigint")
     return [F.count(F.lit(1)).alias("n"), F.sum(wide).alias("h64"), F.sum(narrow).alias("h32")]
 
 
@@ -144,9 +146,16 @@ def safe_write(df: DataFrame, path: str) -> None:
     if digest != source_digest:
         fs.delete(source, True)
         raise ValueError(f"verification failed: data written for {path} does not match its source")
-    fs.delete(target, True)
+    old = hadoop.Path(f"{staging}.old")
+    replaced = fs.exists(target)
+    if replaced and not fs.rename(target, old):
+        raise OSError(f"could not move {path} aside")
     if not fs.rename(source, target):
+        if replaced:
+            fs.rename(old, target)
         raise OSError(f"could not move {staging} to {path}")
+    if replaced:
+        fs.delete(old, True)
 
 
 def materialise(df: DataFrame, path: str, fingerprint: str) -> DataFrame:

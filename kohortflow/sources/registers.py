@@ -27,6 +27,11 @@ def _pattern_regex(pattern: str) -> str:
     return f"/{text}$"
 
 
+def _absent(error: AnalysisException) -> bool:
+    """Is there no file, rather than something wrong with one?"""
+    return "PATH_NOT_FOUND" in str(error) or "UNABLE_TO_INFER_SCHEMA" in str(error)
+
+
 def read_register(
     spark: SparkSession,
     location: str,
@@ -46,7 +51,9 @@ def read_register(
     if pattern is None:
         try:
             table = spark.read.parquet(location)
-        except AnalysisException:
+        except AnalysisException as error:
+            if not _absent(error):
+                raise
             return None
         return table.where(F.col("year").isin(list(years))) if years else table
     fmt = file_format(pattern)
@@ -55,7 +62,9 @@ def read_register(
     if not periodic:
         try:
             single = _scan(spark, [f"{location}/{pattern}"], fmt)
-        except AnalysisException:
+        except AnalysisException as error:
+            if not _absent(error):
+                raise
             return None
         return with_inferred_types(single) if fmt == "csv" else single
     month_glob = "[0-9][0-9]" if month in (None, "*") else f"{int(month):02d}"
@@ -73,9 +82,9 @@ def read_register(
         try:
             df = _scan(spark, [path], fmt)
         except AnalysisException as error:
-            if "PATH_NOT_FOUND" in str(error) or "UNABLE_TO_INFER_SCHEMA" in str(error):
-                continue
-            raise
+            if not _absent(error):
+                raise
+            continue
         if fmt == "csv":
             df = df.withColumn("__path", F.regexp_replace(F.input_file_name(), r"/part-[^/]*$", ""))
         else:

@@ -46,3 +46,12 @@ def test_semi_join_keeps_a_row_once_under_overlapping_ranges(spark):
     df = spark.createDataFrame([("C45",), ("C45",)], "code string")
     assert in_code_ranges(df, "code", ranges).count() == 2
     assert icd_range_join(df, "code", ranges).count() == 4
+
+
+def test_short_lower_case_and_bad_codes(spark):
+    from kohortflow.functions.codes import bad_codes, in_code_ranges
+
+    listed = parse_code_list(spark.createDataFrame([("c; d1-d3; 9x; Q", "g")], "codes string, grp string"))
+    df = spark.createDataFrame([("C50",), ("D2",), ("Q79",), ("A01",)], "code string")
+    assert [r.code for r in in_code_ranges(df, "code", listed).orderBy("code").collect()] == ["C50", "D2", "Q79"]
+    assert [r.lo for r in bad_codes(listed).collect()] == ["9X"]

@@ -106,16 +106,16 @@ def test_treatment_period_and_labels(spark):
     assert (first.pre_treatment_start, first.post_treatment_end) == (d - timedelta(days=365), d + timedelta(days=1825))
     days = [-366, -365, -1, 0, 1825, 1826]
     dated = spark.createDataFrame([("F1", d + timedelta(days=n), n) for n in days], "family_id string, d date, n int")
-    assert rows(co.pre_post_label(dated, "d", period), "n", "period") == [(-365, "pre"), (-1, "pre"), (0, "post"), (1825, "post")]
+    assert rows(co.pre_post_label(dated, "d", period), "n", "period") == [(-365, "pre"), (-1, "pre"), (0, "post"), (1825, "post"), (1826, "pre")]
 
 
 def test_outcomes_by_period(spark):
-    exposed = spark.createDataFrame([("a", BIRTH)], "child_id string, index_date date")
+    exposed = spark.createDataFrame([("a", BIRTH), ("b", BIRTH)], "child_id string, index_date date")
     events = spark.createDataFrame(
         [("a", BIRTH + timedelta(days=n), 1) for n in (-1, 0, 365, 366, 3650)], "p string, d date, v int"
     )
-    r = co.outcome_by_period(exposed, events, "p", "d", "v", {"short": 1, "long": 10}).first()
-    assert (r.n_short, r.sum_short, r.n_long) == (2, 2, 4)
+    r = co.outcome_by_period(exposed, events, "p", "d", "v", {"short": 1, "long": 10}).orderBy("child_id").collect()
+    assert [(x.n_short, x.sum_short, x.n_long) for x in r] == [(2, 2, 4), (0, 0, 0)]
 
 
 def test_caliper_distance_and_single_use(spark):

@@ -301,3 +301,10 @@ def test_missing_registers_leave_tables_out(spark):
     assert set(at.build_all_tables({"MFR": mfr, "IND": None})) == {"Child"}
     assert at.employment_table(None, mfr, mfr) is None
     assert at.child_table(None) is None
+
+
+def test_malformed_person_numbers(spark):
+    from kohortflow.operators.quality import person_number_check
+
+    df = spark.createDataFrame([(None,), ("010190-A12B",), ("010190-4122",)], "n string").selectExpr("n", "DATE '1990-01-01' AS b", "'K' AS s")
+    assert {r.rule: r.n_violations for r in person_number_check(df, "n", "b", "s").collect()}["malformed"] == 2

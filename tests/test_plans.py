@@ -10,7 +10,7 @@ QUERIES = entry.queries()
 PURE = [
     n
     for n in QUERIES
-    if not n.startswith(("read_", "csv_", "ingest_reg", "incremental", "safe_", "materialise", "synth_", "caliper"))
+    if not n.startswith(("read_", "csv_", "ingest_reg", "incremental", "safe_", "materialise", "caliper"))
 ]
 
 

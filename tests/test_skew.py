@@ -101,4 +101,4 @@ def test_hot_child_is_split_although_an_aggregation_follows(spark, small_skew_se
     plan = final_plan(out)
     assert "skew=true" in plan
     want = events.where("datediff(d, DATE '2001-01-01') <= 365").groupBy("k").agg(F.sum("v").alias("s"))
-    assert rows(out.where("sum_one IS NOT NULL"), "child_id", "sum_one") == rows(want, "k", "s")
+    assert rows(out.where("n_one > 0"), "child_id", "sum_one") == rows(want, "k", "s")
