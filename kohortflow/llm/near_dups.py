@@ -273,7 +273,9 @@ class _Join:
     def untried(self, pairs: DataFrame) -> DataFrame:
         """Distinct pairs that no earlier level has looked at."""
         pairs = pairs.groupBy("a", "b").agg(F.max("agree").alias("agree"))
-        return cut_lineage(reduce(lambda left, t: left.join(t, ["a", "b"], "left_anti"), self.tried, pairs))
+        if self.tried:
+            pairs = pairs.join(reduce(DataFrame.union, self.tried), ["a", "b"], "left_anti")
+        return cut_lineage(pairs)
 
     def confirm(self, pairs: DataFrame) -> None:
         """Confirm pairs on full sets and connect what they link: best partners first, then what is still apart."""
@@ -287,7 +289,9 @@ class _Join:
             for side in ("a", "b"):
                 rest = rest.join(self.components.select(F.col("id").alias(side), F.col("component").alias(f"c{side}")), side, "left")
             rest = rest.where("coalesce(ca, a) <> coalesce(cb, b)").select("a", "b")
-        self._connect(rest)
+        rest = cut_lineage(rest)
+        if not rest.isEmpty():
+            self._connect(rest)
 
     def _connect(self, pairs: DataFrame) -> None:
         a = self.texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
@@ -297,7 +301,7 @@ class _Join:
             return
         # what was connected before is a star already, so only stars and new links are contracted
         before = found if self.components is None else found.union(self.components.select("id", "component"))
-        self.components = cut_lineage(connected(before))
+        self.components = connected(before)
 
     def run(self) -> None:
         rep_tokens = self.reps.select("id", "tokens")
