@@ -33,6 +33,7 @@ IDENTIFIERS = [
     "CPR_FADER",
     "CPR_MODER",
 ]
+FILE = "__file_path"
 REPLACEMENT = "�"  # what a decoder leaves where the bytes are not valid in the encoding
 
 
@@ -48,11 +49,28 @@ def _raw_csv(spark: SparkSession, paths: Sequence[str], encoding: str) -> DataFr
     return spark.read.csv(list(paths), header=True, encoding=encoding, escape='"', inferSchema=False)
 
 
-def _decodes(df: DataFrame) -> bool:
-    broken = [F.col(f"`{c}`").contains(REPLACEMENT) for c in df.columns]
-    return not any(REPLACEMENT in c for c in df.columns) and df.where(
-        F.coalesce(F.greatest(*broken, F.lit(False)), F.lit(False))
-    ).isEmpty()
+def _broken(df: DataFrame) -> Column:
+    return F.coalesce(F.greatest(*[F.col(f"`{c}`").contains(REPLACEMENT) for c in df.columns], F.lit(False)), F.lit(False))
+
+
+def _decoded_csv(spark: SparkSession, paths: Sequence[str], encodings: Sequence[str]) -> DataFrame:
+    """All files, each in the first encoding that leaves no decoding error in it; the header likewise."""
+    raw = _raw_csv(spark, paths, encodings[0])
+    names = raw.columns
+    frame = raw.withColumn(FILE, F.col("_metadata.file_path"))
+    for encoding in encodings[1:]:
+        clear = not any(REPLACEMENT in c for c in names)
+        if clear and frame.where(_broken(frame)).isEmpty():
+            break
+        bad = frame.where(_broken(frame)).select(FILE).distinct()
+        again = _raw_csv(spark, paths, encoding)
+        names = names if clear else again.columns
+        again = again.withColumn(FILE, F.col("_metadata.file_path")).toDF(*names, FILE)
+        frame = frame.toDF(*names, FILE)
+        columns = [F.col(f"`{c}`") for c in frame.columns]
+        kept = frame.join(bad, FILE, "left_anti").select(*columns)
+        frame = kept.union(again.join(bad, FILE, "left_semi").select(*columns))
+    return frame.drop(FILE)
 
 
 def with_inferred_types(df: DataFrame, string_cols: Sequence[str] = IDENTIFIERS) -> DataFrame:
@@ -91,15 +109,11 @@ def read_csv(
     """CSV with null tokens, encoding fall-back and identifiers kept as strings.
 
     ``types`` names the target types (no further pass; an empty mapping leaves all columns strings). Without it
-    they are inferred from the whole file. An encoding is taken when no value shows a decoding error; pass a
-    single encoding to skip that pass.
+    they are inferred from the whole file. A file takes the first encoding in which none of its values shows a decoding error
+    (ISO-8859-1 accepts every byte, so none after it is reached); pass a single encoding to skip that pass.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    raw = _raw_csv(spark, paths, encodings[0])
-    for encoding in encodings[1:]:
-        if _decodes(raw):
-            break
-        raw = _raw_csv(spark, paths, encoding)
+    raw = _decoded_csv(spark, paths, encodings)
 
     def cleaned(name: str) -> Column:
         value = F.col(f"`{name}`")

@@ -139,6 +139,12 @@ def test_csv_encodings(spark, tmp_path, encoding):
     assert rows(read_csv(spark, path)) == [("Søren Ærø",)]
 
 
+def test_csv_encoding_of_each_file(spark, tmp_path):
+    text(str(tmp_path / "a.csv"), "navn\nSøren\n")
+    text(str(tmp_path / "b.csv"), "navn\nÆrø\n", "iso-8859-1")
+    assert rows(read_csv(spark, str(tmp_path))) == [("Søren",), ("Ærø",)]
+
+
 def test_register_names(spark):
     stems = ["priv_sksube2012", "ras2000", "LPR_ADM_2005", "Readme", "bef200103", "x-2001"]
     df = spark.createDataFrame([(s,) for s in stems], "s string")
