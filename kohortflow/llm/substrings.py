@@ -309,11 +309,17 @@ def _identified(docs: DataFrame, carried: list[str]) -> tuple[DataFrame, bool]:
     return docs.select(doc.alias("doc"), version.alias("version"), text.alias("text"), row.alias("row")), repeated
 
 
-def spans(rows: DataFrame, batches: int = BATCHES) -> DataFrame:
-    """(doc, version, lo, hi): first and last start of repeated windows, runs in no order."""
+def spans(rows: DataFrame, batches: int = BATCHES, repeated: bool = False) -> DataFrame:
+    """(doc, version, lo, hi): first and last start of repeated windows, runs in no order.
+
+    If rows are ``repeated``, those equal in doc and version are one here, so that no row repeats its own copy.
+    """
     spark = rows.sparkSession
     small_batches(spark)
     family = IndexFamily(spark)
+    if repeated:
+        once = family.stored(rows.select("doc", "version", "text").dropDuplicates(["doc", "version"]), "once")
+        rows = spark.read.parquet(once)
     parts = [k / batches for k in range(1, batches)]
     cuts = rows.where(F.col("doc") < LAST).agg(F.percentile_approx("doc", parts)).first()[0] if parts else []
     cuts = sorted(set(cuts or []))
@@ -341,13 +347,15 @@ def spans(rows: DataFrame, batches: int = BATCHES) -> DataFrame:
     found.append(family.stored(again.select("doc", "version", "lo", F.col("lo").alias("hi")), "spans"))
     family.delete(stored)
     family.delete(wanted)
+    if repeated:
+        family.delete(once)
     released(spark)
     return reduce(DataFrame.union, [spark.read.parquet(path) for path in found])
 
 
 def _cleaned(docs: DataFrame, carried: list[str], batches: int, texts: bool) -> DataFrame:
     rows, repeated = _identified(docs, carried)
-    gone = spans(rows, batches).groupBy("doc", "version").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    gone = spans(rows, batches, repeated).groupBy("doc", "version").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
     copy = F.row_number().over(Window.partitionBy("doc", "version").orderBy("doc")) if repeated else F.lit(1)
     joined = rows.join(gone, ["doc", "version"], "left").select("row", "text", "spans", copy.alias("copy"))
     kind = rows.schema["row"].dataType.simpleString()

@@ -114,6 +114,17 @@ def test_substrings_odd_rows(spark, odd):
     assert substrings.removals(empty(spark)).count() == 0
 
 
+def test_substrings_first_of_equal_rows_keeps_its_bytes(spark):
+    rng = random.Random(11)
+    shared = prose(rng, 40)
+    texts = {i: f"{prose(rng, 20)} {shared} {prose(rng, 20)}" for i in (1, 2, 99)}
+    rows = [(1, texts[1]), (1, texts[1]), (2, texts[2]), (None, texts[99]), (None, texts[99]), (None, texts[99])]
+    got = sorted((r.doc_id or 99, r.n_removed, r.n_spans, r.kept_sha256) for r in substrings.removals(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    want = removed(texts.items())
+    none = lambda i: (i, len(texts[i].encode()), 1, hashlib.sha256(b"").hexdigest())
+    assert got == sorted([(i, *want[i][1:]) for i in texts] + [none(1), none(99), none(99)])
+
+
 def test_substrings_keep_characters(spark):
     a = "é" * 60
     out = substrings.deduplicated(spark.createDataFrame([(1, a + "x"), (2, "y" + a + "z")], "doc_id long, text string"))
