@@ -62,6 +62,11 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
     return ranked.select("source", "source_size", "n_docs", F.least(F.col("source_size") * float(most), F.col("weight") * F.lit(level)).alias("target"))
 
 
+def _snapped(p: float) -> float:
+    """``p`` within 0 and 1, and whole if only rounding keeps it from that."""
+    return 0.0 if p < 1e-12 else 1.0 if p > 1 - 1e-12 else p
+
+
 def _traded(size: np.ndarray, p: np.ndarray, draws: np.ndarray, items: list[int]) -> int:
     """Pair the fractional ``items`` until at most one is left; its place, or -1."""
     held = -1
@@ -75,10 +80,10 @@ def _traded(size: np.ndarray, p: np.ndarray, draws: np.ndarray, items: list[int]
         down = min(p[held] * size[held], (1 - p[j]) * size[j])
         if draws[j] * (up + down) < down:  # the held one gains
             full = (1 - p[held]) * size[held] <= p[j] * size[j]
-            p[held], p[j] = (1.0, p[j] - up / size[j]) if full else (p[held] + up / size[held], 0.0)
+            p[held], p[j] = (1.0, _snapped(p[j] - up / size[j])) if full else (_snapped(p[held] + up / size[held]), 0.0)
         else:
             empty = p[held] * size[held] <= (1 - p[j]) * size[j]
-            p[held], p[j] = (0.0, p[j] + down / size[j]) if empty else (p[held] - down / size[held], 1.0)
+            p[held], p[j] = (0.0, _snapped(p[j] + down / size[j])) if empty else (_snapped(p[held] - down / size[held]), 1.0)
         if not 0 < p[held] < 1:
             held = j if 0 < p[j] < 1 else -1
     return held
@@ -140,7 +145,7 @@ def mixed(docs: DataFrame, seed: int = SEED, group: int = GROUP, carry: tuple[st
     while left:
         keyed = rows.withColumn("bucket", F.floor(F.col("bucket") / (1 if level == 0 else group)))
         done = cut_lineage(keyed.withColumn("_level", F.lit(level)).groupBy("_level", "source", "bucket").applyInPandas(trade, keyed.withColumn("_level", F.lit(level)).schema).drop("_level"))
-        whole_now = done.where("p = 0 OR p = 1")
+        whole_now = done.where("NOT (p > 0 AND p < 1)")
         settled = whole_now if settled is None else settled.unionByName(whole_now)
         rows = done.where("p > 0 AND p < 1")
         left = rows.select(F.max("groups")).first()[0]

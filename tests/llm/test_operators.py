@@ -6,6 +6,7 @@ import random
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from llm.brute import near_components, removed, words
 
@@ -308,6 +309,23 @@ def test_mixing(spark, docs, odd):
     assert mixing.mixed(empty(spark)).count() == 0 and mixing.repeated(empty(spark)).count() == 0
 
 
+def test_mixing_of_equal_sizes_loses_no_rows():
+    for size, p in ((196, 5 / 11), (111, 0.2), (7, 3 / 7), (50, 0.6)):
+        for seed in range(60):
+            group = pd.DataFrame({"size": [size] * 40, "p": [p] * 40, "order": range(40)})
+            out = mixing.pivoted(group, seed)["p"]
+            assert out.between(0, 1).all() and ((out != 0) & (out != 1)).sum() <= 1
+            assert abs(out.sum() - 40 * p) < 1e-9
+
+
+def test_mixing_keeps_rows_whose_trade_is_not_exact(spark, monkeypatch):
+    """A row that a trade leaves a rounding error outside 0 to 1 is settled, too."""
+    monkeypatch.setattr(mixing, "pivoted", lambda group, seed: group.assign(p=[-5.55e-17, 1.0000000000000002] * (len(group) // 2)))
+    rows = [(i, "word " * 10, "ab"[i % 2]) for i in range(8)]
+    out = mixing.mixed(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert sorted(r.doc_id for r in out) == list(range(8)) and {r.copies for r in out} <= {0, 1, 2, 3}
+
+
 def test_pipeline(spark, small):
     import corpus_pipeline
 
