@@ -5,8 +5,11 @@ that end a record, so archives are written by the same committed, retried tasks
 Records with equal payloads are written once, as the response with the largest id; the others are revisits.
 
 Reading: each archive is scanned from record to record. A record counts if its version line, head, length, end and
-digest hold. If one does not, the reader looks for the next place where a valid record starts (a gzip member or a
-version line), goes on there, and logs the bytes between as a gap with the reason.
+digests hold. If one does not, the reader looks for the next place where a valid record starts (a gzip member or a
+version line, whatever the archive began with), goes on there, and logs the bytes between as a gap with the reason.
+The block digest is that of the whole block. The payload digest is that of the body after the HTTP head in records of
+type application/http (as sent, or put together from its chunks), else of the block; those of revisits and segments refer to
+other records too and are not compared. Digests are SHA-1, SHA-256 or MD5 in base 32 or hexadecimal.
 
 An archive is read by one task, so the writer bounds the records of one; a single page may be as long as Spark's
 rows may be.
@@ -19,6 +22,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -34,6 +38,9 @@ DATE = "2000-01-01T00:00:00Z"
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 BASE32HEX, BASE32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 VERSIONS = (b"WARC/1.0\r\n", b"WARC/1.1\r\n")
+MEMBER = b"\x1f\x8b\x08"
+STARTS = (*VERSIONS, MEMBER)
+STEP = 1 << 16  # compressed bytes taken at a time
 NONE = -(1 << 63)
 
 
@@ -105,12 +112,44 @@ def _record(data: bytes, at: int) -> tuple[dict[str, str], bytes, int] | str:
     if data[stop : stop + 4] != b"\r\n\r\n":
         return "does not end where its length says"
     payload = data[start:stop]
-    kind, _, digest = head.get("warc-payload-digest", "").partition(":")
-    if kind == "sha1" and head.get("warc-type") != "revisit" and base64.b32encode(hashlib.sha1(payload).digest()).decode() != digest:
+    if not _agrees(head.get("warc-block-digest", ""), [payload]):
+        return "block digest differs"
+    whole = head.get("warc-type") != "revisit" and "warc-segment-number" not in head
+    if whole and not _agrees(head.get("warc-payload-digest", ""), _bodies(head, payload)):
         return "digest differs"
     return head, payload, stop + 4
 
 
+def _agrees(field: str, bodies: list[bytes]) -> bool:
+    """Is the digest that of one of the ``bodies``? One of an unknown kind is taken as it is."""
+    kind, _, digest = field.partition(":")
+    kind = kind.strip().lower().replace("-", "")
+    if kind not in ("sha1", "sha256", "md5"):
+        return True
+    made = [hashlib.new(kind, body, usedforsecurity=False).digest() for body in bodies]
+    digest = digest.strip().upper().rstrip("=")
+    return any(digest in (base64.b32encode(d).decode().rstrip("="), d.hex().upper()) for d in made)
+
+
+def _bodies(head: dict[str, str], block: bytes) -> list[bytes]:
+    """What a payload digest may be of."""
+    if head.get("content-type", "").partition(";")[0].strip().lower() != "application/http":
+        return [block]
+    top, found, body = block.partition(b"\r\n\r\n")
+    if not found:
+        return [b"", block]
+    if not re.search(rb"\r\ntransfer-encoding:[^\r]*chunked", top, re.I):
+        return [body]
+    parts, at = [], 0
+    while size := re.compile(rb"([0-9a-fA-F]+)[^\r\n]*\r\n").match(body, at):
+        n = int(size[1], 16)
+        parts.append(body[size.end() : size.end() + n])
+        at = size.end() + n + 2
+        if not n:
+            break
+    return [body, b"".join(parts)]
+
+
 def _next(data: bytes, at: int, marks: tuple[bytes, ...]) -> int:
     found = [i for i in (data.find(m, at) for m in marks) if i >= 0]
     return min(found, default=len(data))
@@ -121,50 +160,44 @@ def salvage(data: bytes) -> Iterator[tuple[int, int, str, dict[str, str], bytes]
 
     Places are those in the archive as it is stored; in a compressed one a record has the place of its member.
     """
-    if data[:2] == b"\x1f\x8b":
-        yield from _members(data)
-        return
     at, gap, fault = 0, -1, ""
     while at < len(data):
-        got = _record(data, at)
+        got = _member(data, at) if data.startswith(MEMBER, at) else _record(data, at)
         if isinstance(got, str):
             gap, fault = (at, got) if gap < 0 else (gap, fault)
-            at = _next(data, at + 1, VERSIONS)
+            at = _next(data, at + 1, STARTS)
             continue
         if gap >= 0:
             yield gap, at - gap, fault, {}, b""
             gap = -1
-        yield at, got[2] - at, "", got[0], got[1]
-        at = got[2]
+        if isinstance(got[0], list):
+            parts, size = got
+            for bad, head, payload in parts:
+                yield at, size, bad, head, payload
+            at += size
+        else:
+            yield at, got[2] - at, "", got[0], got[1]
+            at = got[2]
     if gap >= 0:
         yield gap, len(data) - gap, fault, {}, b""
 
 
-def _members(data: bytes) -> Iterator[tuple[int, int, str, dict[str, str], bytes]]:
-    at, gap, fault = 0, -1, ""
-    while at < len(data):
-        member = zlib.decompressobj(31)
-        try:
-            plain = member.decompress(data[at:])
-            wrong = "" if member.eof else "member does not end"
-        except zlib.error as e:
-            wrong = f"member: {e}"
-        if not wrong:
-            parts = list(salvage(plain))
-            wrong = next((p[2] for p in parts if p[2]), "") if not any(not p[2] for p in parts) else ""
-        if wrong:
-            gap, fault = (at, wrong) if gap < 0 else (gap, fault)
-            at = _next(data, at + 1, (b"\x1f\x8b\x08",))
-            continue
-        if gap >= 0:
-            yield gap, at - gap, fault, {}, b""
-            gap = -1
-        size = len(data) - at - len(member.unused_data)
-        for _, _, bad, head, payload in parts:
-            yield at, size, bad, head, payload
-        at += size
-    if gap >= 0:
-        yield gap, len(data) - gap, fault, {}, b""
+def _member(data: bytes, at: int) -> tuple[list[tuple[str, dict[str, str], bytes]], int] | str:
+    """Records and gaps of the gzip member at ``at`` and its length, or what is wrong with it."""
+    member, plain, stop = zlib.decompressobj(31), [], at
+    try:
+        while stop < len(data) and not member.eof:
+            part = data[stop : stop + STEP]
+            plain.append(member.decompress(part))
+            stop += len(part)
+    except zlib.error as e:
+        return f"member: {e}"
+    if not member.eof:
+        return "member does not end"
+    parts = [p[2:] for p in salvage(b"".join(plain))]
+    if parts and all(fault for fault, _, _ in parts):
+        return parts[0][0]
+    return parts, stop - at - len(member.unused_data)
 
 
 READ = pa.schema([("archive", pa.string()), ("place", pa.int64()), ("length", pa.int64()), ("fault", pa.string()), ("head", pa.map_(pa.string(), pa.string())), ("payload", pa.binary())])

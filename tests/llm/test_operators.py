@@ -192,6 +192,39 @@ def test_salvage():
     assert sum(f[1] for f in found) == len(members[0]) + len(bad) + len(members[2])
 
 
+def test_salvage_of_a_damaged_first_member():
+    members = [zlib.compress(p, wbits=31) for p in _archive([b"a" * 50, b"b" * 50, b"c" * 50])]
+    for first in (b"\0\0" + members[0][2:], members[0][:12] + b"\xff\xff" + members[0][14:]):
+        found = list(warc.salvage(first + members[1] + members[2]))
+        assert [f[3].get("warc-record-id") for f in found] == [None, "<urn:page:1>", "<urn:page:2>"]
+        assert [f[:2] for f in found] == [(0, len(first)), (len(first), len(members[1])), (len(first) + len(members[1]), len(members[2]))]
+    plain = _archive([b"x" * 50])[0]
+    found = list(warc.salvage(members[0] + b"broken" + plain + members[1]))
+    assert [f[3].get("warc-record-id") for f in found] == ["<urn:page:0>", None, "<urn:page:0>", "<urn:page:1>"]
+
+
+def test_salvage_of_http_responses():
+    import base64
+
+    b32 = lambda data: base64.b32encode(hashlib.sha1(data).digest()).decode()
+    http, body = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n", b"<p>one</p>\r\n\r\n<p>two</p>"
+    chunked, chunks = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n", b"3\r\nabc\r\n2;x=y\r\nde\r\n0\r\n\r\n"
+
+    def faults(block, payload_digest, block_digest, kind="application/http; msgtype=response"):
+        fields = f"WARC-Type: response\r\nContent-Type: {kind}\r\nWARC-Payload-Digest: {payload_digest}\r\nWARC-Block-Digest: {block_digest}\r\nContent-Length: {len(block)}"
+        return [f[2] for f in warc.salvage(f"WARC/1.0\r\n{fields}\r\n\r\n".encode() + block + b"\r\n\r\n")]
+
+    whole = f"sha1:{b32(http + body)}"
+    assert faults(http + body, f"sha1:{b32(body)}", whole) == [""]
+    assert faults(http + body, f"sha1:{hashlib.sha1(body).hexdigest()}", whole) == [""]
+    assert faults(http + body, f"sha256:{hashlib.sha256(body).hexdigest()}", whole) == [""]
+    assert faults(http + body, whole, whole) == ["digest differs"]
+    assert faults(http + body, f"sha1:{b32(body)}", f"sha1:{b32(body)}") == ["block digest differs"]
+    assert faults(body, f"sha1:{b32(body)}", f"sha1:{b32(body)}", "text/html") == [""]
+    for payload in (chunks, b"abcde"):
+        assert faults(chunked + chunks, f"sha1:{b32(payload)}", f"sha1:{b32(chunked + chunks)}") == [""]
+
+
 def test_chat_costs_are_least():
     """Against all sequences of edges, for all short sequences of roles."""
     for n in range(4):
