@@ -50,24 +50,45 @@ MARKS = {
     "cookies", "disqus", "footer", "login", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "pagination", "popup",
     "promo", "related", "share", "sharing", "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget",
 }
+#: Last words of a class whose first word then tells of what the region is, as in comment-list; and words that make a
+#: class one of a state or a topic, as in has-sidebar or category-social.
+REGION = {
+    "area", "bar", "block", "body", "box", "button", "buttons", "container", "form", "group", "inner", "item", "items", "links", "list", "posts",
+    "section", "slot", "text", "unit", "widgets", "wrap", "wrapper",
+}
+STATE = {"category", "has", "is", "no", "not", "tag", "tagged", "with", "without"}
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[/a-zA-Z!?][^>]*(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 PART = re.compile(r"[^a-z0-9]+")
 
 
-def _is_frame(tag: str, attributes: str, inside: bool) -> bool:
+def _is_mark(token: str) -> bool:
+    if token in MARKS:
+        return True
+    words = [w for w in PART.split(token) if w]
+    if not words or not STATE.isdisjoint(words):
+        return False
+    return words[-1] in MARKS or words[0] in MARKS and words[-1] in REGION
+
+
+def _is_frame(tag: str, attributes: str, inside: list[str]) -> bool:
+    """Is it a region that is no content? In html and body all is content, and an article or main element that is in no
+    article is none only by a class or id that is a mark as it stands."""
+    if tag in ("html", "body"):
+        return False
     if tag in FRAME and not (tag == "header" and inside):
         return True
     if not attributes:
         return False
+    outermost = tag in MAIN and "article" not in inside
     for name, *values in ATTRIBUTE.findall(attributes):
         value, name = "".join(values).lower(), name.lower()
         if name == "hidden" and value in ("", "hidden", "true") or name == "aria-hidden" and value == "true":
             return True
         if name == "role" and value.strip() in ROLES or name == "style" and "display:none" in value.replace(" ", ""):
             return True
-        if name in ("class", "id") and not MARKS.isdisjoint(PART.split(value)):
+        if name in ("class", "id") and any(t in MARKS if outermost else _is_mark(t) for t in value.split()):
             return True
     return False
 
@@ -113,7 +134,7 @@ def lines_of(page: str | None) -> list[tuple[str, bool]]:
             close = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
             at = close.end() if close else len(page)
         elif tag not in VOID and not token[3].endswith("/"):
-            if _is_frame(tag, token[3], bool(inside)):
+            if _is_frame(tag, token[3], inside):
                 skip, depth = tag, 1
             elif tag in MAIN:
                 inside.append(tag)

@@ -147,6 +147,23 @@ def test_page_text(spark):
     assert pages.extracted(empty(spark, "page_id long, url string, html string")).count() == 0
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ('<article class="post category-social"><p>Text</p></article>', "Text"),
+        ('<main><article class="post tag-menu"><p>Text</p></article></main>', "Text"),
+        ('<main class="has-sidebar"><p>Text</p></main>', "Text"),
+        ('<html class="nav-open"><body class="sidebar-right menu"><p>Text</p><div class="sidebar-right sidebar">Side</div></body></html>', "Text"),
+        ('<div class="content-with-sidebar"><p>Text</p><div class="ad-container">Buy</div><ul class="comment-list"><li>Nice</ul></div>', "Text"),
+        ('<main><p>Text</p><article class="comment"><p>Nice</p></article></main>', "Text"),
+        ('<article><p>Text</p><article class="user-comment"><p>Nice</p></article></article>', "Text"),
+        ('<div class="top-nav">Home</div><p>Text</p><div id="site-footer">End</div>', "Text"),
+    ],
+)
+def test_page_regions(page, text):
+    assert [t for t, _ in pages.lines_of(page)] == [text]
+
+
 def test_common_lines():
     rng = random.Random(1)
     for _ in range(200):
