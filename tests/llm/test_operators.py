@@ -147,6 +147,21 @@ def test_page_text(spark):
     assert pages.extracted(empty(spark, "page_id long, url string, html string")).count() == 0
 
 
+def test_page_text_of_copies(spark):
+    rng = random.Random(4)
+    body = [prose(rng, 40) for _ in range(14)]
+    page = lambda lines: "".join(f"<p>{t}</p>" for t in ["Top", *lines, "Bottom"])
+    near = [*body[:13], body[13] + " end"]
+    print_version = "".join(f"<p>{t}</p>" for t in body)
+    other = [prose(rng, 40) for _ in range(3)]
+    rows = [(i, f"http://a.org/x/1?page={i}", page(body)) for i in range(3)]
+    rows += [(10, "http://a.org/x/1-near", page(near)), (11, "http://a.org/x/1-a-print", print_version), (12, "http://a.org/x/2", page(other))]
+    rows += [(20 + i, f"http://only.org/{i}", page(body)) for i in range(2)]
+    got = {r.page_id: r.text for r in pages.extracted(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+    want = {i: body for i in range(3)} | {10: near, 11: body, 12: other} | {20 + i: ["Top", *body, "Bottom"] for i in range(2)}
+    assert got == {i: " ".join(" ".join(t.split()) for t in lines) for i, lines in want.items()}
+
+
 @pytest.mark.parametrize(
     "page, text",
     [
