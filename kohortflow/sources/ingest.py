@@ -50,7 +50,8 @@ def ingest_registers(spark: SparkSession, in_dir: str, out_dir: str) -> list[str
     """Every register below ``in_dir`` as ``out_dir/registers/<name>/year=<year>``; returns the names.
 
     The file listing (names only, one row per file) is brought to the driver; the data never is. Files of one
-    register are one scan per format, and a rerun replaces only the years it reads.
+    register are one scan per format, and a rerun replaces only the years it reads. A column ``year`` of the files, in any
+    case, becomes ``source_year``, with underscores after it if they have that too.
     """
     wanted: dict[str, dict[str, list[str]]] = {}
     for row in list_files(spark, in_dir).select("register", "path").toLocalIterator():
@@ -66,8 +67,11 @@ def ingest_registers(spark: SparkSession, in_dir: str, out_dir: str) -> list[str
             frames.append(with_inferred_types(union_registers(texts), [*IDENTIFIERS, "__path"]))
         table = union_registers(frames)
         stem = file_stem(F.col("__path"))
+        own, taken = "source_year", {c.lower() for c in table.columns}
+        while own in taken:
+            own += "_"
         out = table.select(
-            *[F.col(c) for c in table.columns if c not in ("__path", "year")],
+            *[F.col(c).alias(own if c.lower() == "year" else c) for c in table.columns if c != "__path"],
             F.regexp_replace("__path", "^.*/", "").alias("source_file"),
             register_year(stem).alias("year"),
         )

@@ -241,3 +241,13 @@ def test_scratch_dir_is_in_the_shared_folder():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_dir(FakeSession("spark://host:7077"), "x")
     assert os.path.isdir(scratch_dir(FakeSession("local[2]"), "x"))
+
+
+def test_ingest_keeps_a_year_column_of_the_source(spark, tmp_path):
+    src, out = tmp_path / "in", f"{tmp_path}/out"
+    src.mkdir()
+    spark.createDataFrame([("a", 1999)], "PNR string, year int").write.parquet(f"{src}/ras2000.parquet")
+    spark.createDataFrame([("b", 1998, 7)], "PNR string, YEAR int, source_year int").write.parquet(f"{src}/ind2001.parquet")
+    assert ingest.ingest_registers(spark, str(src), out) == ["ind", "ras"]
+    assert rows(spark.read.parquet(f"{out}/registers/ras"), "PNR", "source_year", "year") == [("a", 1999, 2000)]
+    assert rows(spark.read.parquet(f"{out}/registers/ind"), "PNR", "source_year", "source_year_", "year") == [("b", 7, 1998, 2001)]
