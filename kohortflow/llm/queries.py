@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kohortflow.llm import chat, mixing, near_dups, packing, pages, quality, reputation, substrings, topk, warc
+from kohortflow.llm import chat, lattice, mixing, near_dups, packing, pages, quality, reputation, runs, substrings, topk, warc, whitening
 from kohortflow.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,12 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def vocabulary_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judged(table(spark, folder, "documents"))
 
@@ -65,8 +71,20 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixed(table(spark, folder, "documents"))
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whitened(table(spark, folder, "embeddings"))
+
+
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return runs.digests(runs.periodic_runs(table(spark, folder, "documents"), plant=True))
+
+
+def op13_lattice_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return lattice.scores(table(spark, folder, "documents"), vocabulary_path())
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_near_dups, op3_substring_dedup, op4_page_text, op5_warc, op6_chat_repair, op7_top_k, op8_url_filter, op9_packing, op10_mixing)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_near_dups, op3_substring_dedup, op4_page_text, op5_warc, op6_chat_repair, op7_top_k, op8_url_filter, op9_packing, op10_mixing, op11_whitening, op12_periodic_runs, op13_lattice_scores)}
 
 
 OP1_SQL = r"""
