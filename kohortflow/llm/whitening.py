@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kohortflow.llm.common import small_batches
+from kohortflow.llm.common import shuffle_width, small_batches
 from kohortflow.session import cut_lineage
 
 COMPONENTS = 16
@@ -231,7 +231,7 @@ def whitened(table: DataFrame, vector: str = "embedding", components: int = COMP
     if dim is None:
         return nothing
     rows = rows.where(F.size("x") == dim)
-    fit = cut_lineage(rows.select("x").distinct())
+    fit = cut_lineage(rows.select("x").distinct().repartition(shuffle_width(spark)))  # an update costs far more than a row
     sums = fit.agg(F.count("*").alias("n"), *[F.sum(F.get("x", F.lit(k)).cast("decimal(38,0)")).alias(f"s{k}") for k in range(dim)]).first()
     n, s = sums.n, [int(v) for v in sums[1:]]
     base = np.array([v // n for v in s], dtype=np.int64)
