@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from kohortflow.checks.registry import check
 from kohortflow.checks.roles import Tables
 from kohortflow.plans.history import family_history
-from kohortflow.session import scratch_dir
+from kohortflow.session import cut_lineage, scratch_dir
 from kohortflow.sources import ingest
 from kohortflow.sources.files import NULL_TOKENS, read_csv, read_file
 from kohortflow.sources.registers import read_register
@@ -44,9 +44,7 @@ def yearly_files(t: Tables, pattern: str, label: str) -> str:
 )
 def _(t):
     folder = yearly_files(t, "'ord_'yyyy'.parquet'", "register")
-    return read_register(t.spark, folder, "ord_{year}.parquet", range(1985, 2011)).select(
-        "o_orderkey", "o_totalprice", "year"
-    )
+    return read_register(t.spark, folder, "ord_{year}.parquet").select("o_orderkey", "o_totalprice", "year")
 
 
 @check(
@@ -153,8 +151,50 @@ def _(t):
        FROM orders GROUP BY year(o_orderdate)""",
 )
 def _(t):
-    df = by_year(t).withColumn("source_file", F.concat(F.lit("ord_"), F.col("year").cast("string"), F.lit(".parquet")))
-    return ingest.ingest_summary(df, "ord", "source_file")
+    folder, out = yearly_files(t, "'ord_'yyyy'.parquet'", "summary_in"), scratch_dir(t.spark, "summary_out")
+    ingest.ingest_registers(t.spark, folder, out)
+    return ingest.manifest_summary(ingest.read_manifest(t.spark, out))
+
+
+@check(
+    "csv_by_header",
+    """SELECT CAST(c_custkey AS VARCHAR) AS PNR, c_mktsegment || chr(10) || '"x", y' AS segment,
+              CASE WHEN c_custkey % 3 <> 2 THEN c_acctbal END AS balance
+       FROM customer""",
+)
+def _(t):
+    """Three files of one table: the columns in two orders, one of them missing a column."""
+    folder = scratch_dir(t.spark, "headers")
+    segment = F.concat("c_mktsegment", F.lit('\n"x", y')).alias("segment")
+    df = t["customer"].select(F.col("c_custkey").cast("string").alias("PNR"), segment, F.col("c_acctbal").alias("balance"), "c_custkey")
+    for k, columns in enumerate((["PNR", "segment", "balance"], ["balance", "PNR", "segment"], ["segment", "PNR"])):
+        df.where(F.col("c_custkey") % 3 == k).select(*columns).write.option("header", True).option("escape", '"').csv(f"{folder}/{k}.csv")
+    return read_csv(t.spark, [f"{folder}/{k}.csv" for k in range(3)])
+
+
+@check(
+    "ingest_manifest",
+    """SELECT 'ord_' || CAST(year(o_orderdate) AS VARCHAR) || '.parquet' AS file_name, 'written' AS status,
+              count(*) * (CASE WHEN year(o_orderdate) = 1995 THEN 2 ELSE 1 END) AS n_rows, year(o_orderdate) = 1995 AS rewritten
+       FROM orders GROUP BY year(o_orderdate)""",
+)
+def _(t):
+    """A second run after one file has changed: only its year is written again."""
+    folder, out = yearly_files(t, "'ord_'yyyy'.parquet'", "manifest_in"), scratch_dir(t.spark, "manifest_out")
+    ingest.ingest_registers(t.spark, folder, out)
+    target = f"{out}/registers/ord"
+    stamp = F.col("_metadata.file_modification_time")
+
+    def written():
+        return t.spark.read.parquet(target).groupBy("source_file").agg(F.max(stamp).alias("at"))
+
+    first = cut_lineage(written())
+    year = t["orders"].where(F.year("o_orderdate") == 1995)
+    year.unionAll(year).write.mode("overwrite").parquet(f"{folder}/ord_1995.parquet")
+    ingest.ingest_registers(t.spark, folder, out)
+    rewritten = first.join(written().withColumnRenamed("at", "now"), "source_file").select("source_file", (F.col("now") > F.col("at")).alias("rewritten"))
+    manifest = ingest.read_manifest(t.spark, out).select(F.regexp_replace("path", "^.*/", "").alias("source_file"), "status", "n_rows")
+    return manifest.join(rewritten, "source_file").select(F.col("source_file").alias("file_name"), "status", "n_rows", "rewritten")
 
 
 @check("incremental_ingest", INGESTED)

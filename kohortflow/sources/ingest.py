@@ -2,15 +2,24 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kohortflow.sources.files import IDENTIFIERS, read_csv, source_path, with_inferred_types
+from kohortflow.sources.files import read_csv, source_path
 from kohortflow.sources.registers import union_registers
 
+PATH = "__path"
+
+
+class VerificationError(ValueError):
+    """Written data differs from its source."""
+
+
 # Fixed value: register name followed by the period digits.
 NAME_PATTERN = r"^([a-zA-Z_]+)(\d+)"
 
@@ -31,57 +40,262 @@ def register_year(stem: Column) -> Column:
     return F.regexp_extract(stem, NAME_PATTERN, 2)
 
 
-def list_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Parquet and CSV files below a folder: path, size, register, year. Only names are read."""
+def _listing(spark: SparkSession, folder: str) -> DataFrame:
+    """Parquet and CSV files below a folder: path, size, last change, register, year. Only names are read."""
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.{parquet,csv}")
         .load(folder)
-        .select(F.regexp_replace("path", r"/part-[^/]*$", "").alias("path"), "length")
+        .select(F.regexp_replace("path", r"/part-[^/]*$", "").alias("path"), "length", "modificationTime")
     )
     stem = file_stem(F.col("path"))
-    return files.groupBy("path").agg(F.sum("length").alias("n_bytes")).select(
-        "path", "n_bytes", register_name(stem).alias("register"), register_year(stem).alias("year")
+    return files.groupBy("path").agg(F.sum("length").alias("n_bytes"), F.max("modificationTime").alias("modified")).select(
+        "path", "n_bytes", F.unix_micros("modified").alias("modified"), register_name(stem).alias("register"), register_year(stem).alias("year")
+    )
+
+
+def list_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Parquet and CSV files below a folder: path, size, register, year. Only names are read."""
+    return _listing(spark, folder).drop("modified")
+
+
+MANIFEST = (
+    "register string, year string, path string, n_bytes bigint, modified bigint, status string, error string, "
+    "n_rows bigint, h64 decimal(38,0), h32 bigint, columns array<string>, types string"
+)
+FILE_FAILED, FILE_WRITTEN = "failed", "written"
+
+
+def read_manifest(spark: SparkSession, out_dir: str) -> DataFrame:
+    """The last committed state of an ingest folder, one row per input file."""
+    return spark.read.schema(MANIFEST).parquet(f"{out_dir}/manifest/version={_version(spark, out_dir)}")
+
+
+def _filesystem(spark: SparkSession, path: str) -> tuple:
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    return hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration()), hadoop.Path
+
+
+def _version(spark: SparkSession, out_dir: str) -> int:
+    """Number of the last manifest that was committed, 0 for none."""
+    fs, to_path = _filesystem(spark, out_dir)
+    found = fs.globStatus(to_path(f"{out_dir}/manifest/version=*/_SUCCESS")) or []
+    return max((int(f.getPath().getParent().getName().split("=")[1]) for f in found), default=0)
+
+
+def _common_type(kinds: set[str]) -> str:
+    """One type for a column that files hold under several: the wider number, otherwise text."""
+    whole = {"tinyint", "smallint", "int", "bigint"}
+    if len(kinds) == 1:
+        return next(iter(kinds))
+    if kinds <= whole:
+        return "bigint"
+    return "double" if kinds <= whole | {"float", "double"} else "string"
+
+
+def _parquet_by_schema(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """One scan if the files' schemas merge; otherwise one per schema, columns brought to a common type."""
+    try:
+        df = spark.read.option("mergeSchema", "true").parquet(*paths)
+        return df.select("*", source_path().alias(PATH))
+    except (PySparkException, Py4JJavaError):  # schemas that do not merge surface as either
+        pass
+    groups: dict[str, list[str]] = {}
+    for path in paths:
+        groups.setdefault(spark.read.parquet(path).schema.json(), []).append(path)
+    frames = [spark.read.parquet(*group).select("*", source_path().alias(PATH)) for group in groups.values()]
+    kinds: dict[str, set[str]] = {}
+    for df in frames:
+        for name, kind in df.dtypes:
+            kinds.setdefault(name, set()).add(kind)
+    return union_registers([df.select(*[F.col(f"`{c}`").cast(_common_type(kinds[c])).alias(c) for c in df.columns]) for df in frames])
+
+
+def _register_frame(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """All files of a register as one table with their path, ``source_file`` and ``year``."""
+    csv = [p for p in paths if p.lower().endswith(".csv")]
+    parquet = [p for p in paths if p not in set(csv)]
+    frames = [_parquet_by_schema(spark, parquet)] if parquet else []
+    if csv:
+        frames.append(read_csv(spark, csv, path_column=PATH))
+    if len(frames) == 2:  # types of one register agree over its formats
+        kinds = [dict(f.dtypes) for f in frames]
+        frames = [f.select(*[F.col(f"`{c}`").cast(_common_type({k[c] for k in kinds if c in k})).alias(c) for c in f.columns]) for f in frames]
+    table = union_registers(frames)
+    taken = {c.lower() for c in table.columns}
+    names = {}
+    for c in table.columns:
+        if c.lower() in ("year", "source_file"):
+            own = f"source_{c.lower()}"
+            while own in taken:
+                own += "_"
+            taken.add(own)
+            names[c] = own
+    return table.select(
+        *[F.col(f"`{c}`").alias(names.get(c, c)) for c in table.columns if c != PATH],
+        PATH,
+        F.regexp_replace(PATH, "^.*/", "").alias("source_file"),
+        register_year(file_stem(F.col(PATH))).alias("year"),
     )
 
 
+def _types(df: DataFrame) -> str:
+    return json.dumps({name: kind for name, kind in df.dtypes if name not in (PATH, "source_file", "year")}, sort_keys=True)
+
+
+def _by_file(df: DataFrame, key: str) -> dict[str, tuple]:
+    """Content digest of each file's rows, by path or by name; one row per file."""
+    content = df.drop(PATH, "year")
+    return {r[key]: (r.n, r.h64, r.h32) for r in df.groupBy(key).agg(*_digest(content)).toLocalIterator()}
+
+
+def _by_name(digests: dict[str, tuple]) -> dict[str, tuple]:
+    """Digests by path as digests by file name; they are sums, so files of one name add up."""
+    out: dict[str, tuple] = {}
+    for path, digest in digests.items():
+        name = path.rsplit("/", 1)[-1]
+        out[name] = tuple(a + b for a, b in zip(out[name], digest, strict=True)) if name in out else digest
+    return out
+
+
+def _staged(df: DataFrame, path: str) -> DataFrame:
+    """The table as written to a folder by year."""
+    out = df.drop(PATH)
+    out.write.partitionBy("year").parquet(path)
+    return df.sparkSession.read.schema(out.schema).parquet(path)
+
+
+def _replace_years(spark: SparkSession, staging: str, target: str) -> None:
+    """Move the staged year folders over those of the target."""
+    fs, to_path = _filesystem(spark, target)
+    fs.mkdirs(to_path(target))
+    for status in fs.globStatus(to_path(f"{staging}/year=*")) or []:
+        source = status.getPath()
+        goal = to_path(f"{target}/{source.getName()}")
+        if fs.exists(goal) and not fs.delete(goal, True):
+            raise OSError(f"could not replace {goal}")
+        if not fs.rename(source, goal):
+            raise OSError(f"could not move {source} to {goal}")
+
+
+def _ingest_register(spark: SparkSession, name: str, files: list[dict], out_dir: str) -> list[dict]:
+    """Write the given files' years of one register, verified file by file; returns their manifest rows."""
+    df = _register_frame(spark, [f["path"] for f in files])
+    staging = f"{out_dir}/.staging-{uuid.uuid4().hex}"
+    fs, to_path = _filesystem(spark, staging)
+    try:
+        source = _by_file(df, PATH)
+        copy, wanted = _by_file(_staged(df, staging), "source_file"), _by_name(source)
+        if copy != wanted:
+            bad = sorted(f for f in wanted.keys() | copy.keys() if wanted.get(f) != copy.get(f))
+            raise VerificationError(f"verification failed for {name}: {', '.join(bad)}")
+        _replace_years(spark, staging, f"{out_dir}/registers/{name}")
+    finally:
+        fs.delete(to_path(staging), True)
+    kinds = _types(df)
+    columns = [c for c in df.columns if c not in (PATH, "source_file", "year")]
+    rows = []
+    for f in files:
+        n, h64, h32 = source.get(f["path"], (0, None, None))
+        rows.append(f | {"status": FILE_WRITTEN, "error": None, "n_rows": n, "h64": h64, "h32": h32, "columns": columns, "types": kinds})
+    return rows
+
+
+def _readable(spark: SparkSession, files: list[dict]) -> tuple[list[dict], list[dict]]:
+    """Files that can be read to their end, and manifest rows of those that cannot."""
+    good, bad = [], []
+    for f in files:
+        try:
+            _by_file(_register_frame(spark, [f["path"]]), PATH)
+            good.append(f)
+        except Exception as error:  # noqa: BLE001 - whatever a file's content makes a reader raise is recorded
+            bad.append(f | {"status": FILE_FAILED, "error": str(error)[:500]})
+    return good, bad
+
+
 def ingest_registers(spark: SparkSession, in_dir: str, out_dir: str) -> list[str]:
     """Every register below ``in_dir`` as ``out_dir/registers/<name>/year=<year>``; returns the names.
 
-    The file listing (names only, one row per file) is brought to the driver; the data never is. Files of one
-    register are one scan per format, and a rerun replaces only the years it reads. A column ``year`` of the files, in any
-    case, becomes ``source_year``, with underscores after it if they have that too.
+    A manifest keeps size, time of change and content digest of every input file. Files it knows as they are and whose
+    year is there are skipped; a year with a new or changed file is written anew from all its files, and the register
+    as a whole if a column's type has changed by that. Data is written aside, read back and compared with its source by a
+    digest per file before it takes a year's place; a difference raises ``VerificationError`` and leaves
+    the target as it was. The manifest is committed as a new version once every register is done, so a stopped run is repeated.
+    A file that cannot be read is recorded as failed, its year left as it was, and the rest goes on. Years whose files are gone stay.
+
+    The listing (names only, one row per file) is brought to the driver; the data never is. Files of one register are
+    one scan per schema or header. Columns ``year`` and ``source_file`` of the files, in any case, become
+    ``source_year`` and ``source_source_file``, with underscores after it if they have that too.
     """
-    wanted: dict[str, dict[str, list[str]]] = {}
-    for row in list_files(spark, in_dir).select("register", "path").toLocalIterator():
-        kind = "csv" if row.path.lower().endswith(".csv") else "parquet"
-        wanted.setdefault(row.register, {}).setdefault(kind, []).append(row.path)
-    for name, by_kind in wanted.items():
-        frames = []
-        if "parquet" in by_kind:
-            df = spark.read.option("mergeSchema", "true").parquet(*by_kind["parquet"])
-            frames.append(df.select("*", source_path().alias("__path")))
-        if "csv" in by_kind:  # headers may differ by file, types must not
-            texts = [read_csv(spark, p, types={}).withColumn("__path", F.lit(p)) for p in by_kind["csv"]]
-            frames.append(with_inferred_types(union_registers(texts), [*IDENTIFIERS, "__path"]))
-        table = union_registers(frames)
-        stem = file_stem(F.col("__path"))
-        own, taken = "source_year", {c.lower() for c in table.columns}
-        while own in taken:
-            own += "_"
-        out = table.select(
-            *[F.col(c).alias(own if c.lower() == "year" else c) for c in table.columns if c != "__path"],
-            F.regexp_replace("__path", "^.*/", "").alias("source_file"),
-            register_year(stem).alias("year"),
-        )
-        (
-            out.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("year")
-            .parquet(f"{out_dir}/registers/{name}")
-        )
-    return sorted(wanted)
+    files = [r.asDict() for r in _listing(spark, in_dir).toLocalIterator()]
+    version = _version(spark, out_dir)
+    known = {r.path: r.asDict() for r in read_manifest(spark, out_dir).toLocalIterator()} if version else {}
+    fs, to_path = _filesystem(spark, out_dir)
+    done, changed = dict(known), False
+    names = sorted({f["register"] for f in files})
+    for name in names:
+        own = [f for f in files if f["register"] == name]
+        target = f"{out_dir}/registers/{name}"
+
+        def current(f: dict, target: str = target) -> bool:
+            old = known.get(f["path"])
+            if not old or (old["n_bytes"], old["modified"]) != (f["n_bytes"], f["modified"]):
+                return False
+            folder = f"{target}/year={f['year'] or '__HIVE_DEFAULT_PARTITION__'}"
+            return old["status"] == FILE_FAILED or not old["n_rows"] or fs.exists(to_path(folder))
+
+        years = {f["year"] for f in own if not current(f)}
+        if not years:
+            continue
+        changed = True
+        broken: set[str] = set()
+        pending = [f for f in own if f["year"] in years]
+        try:
+            rows = _ingest_years(spark, name, own, pending, known, out_dir)
+        except VerificationError:
+            raise
+        except Exception:  # noqa: BLE001 - find the files at fault, let the other years go on
+            good, failed = _readable(spark, own)
+            broken = {f["year"] for f in failed}
+            done |= {f["path"]: f for f in failed}
+            pending = [f for f in good if f["year"] in years - broken]
+            rows = _ingest_years(spark, name, [f for f in good if f["year"] not in broken], pending, known, out_dir) if pending else []
+        done |= {r["path"]: r for r in rows}
+    if changed:
+        fields = [f.split()[0] for f in MANIFEST.split(", ")]
+        table = spark.createDataFrame([tuple(r.get(c) for c in fields) for r in done.values()], MANIFEST)
+        table.coalesce(1).write.mode("overwrite").parquet(f"{out_dir}/manifest/version={version + 1}")
+    return [n for n in names if any(r["register"] == n and r["status"] == FILE_WRITTEN for r in done.values())]
+
+
+def _ingest_years(spark: SparkSession, name: str, own: list[dict], pending: list[dict], known: dict, out_dir: str) -> list[dict]:
+    """The pending years, or all of them if the types of shared columns differ from those already written."""
+    old = [json.loads(r["types"]) for r in known.values() if r["register"] == name and r["types"]]
+    if old and len(pending) < len(own):
+        kinds = json.loads(_types(_register_frame(spark, [f["path"] for f in pending])))
+        if any(kinds[c] != before[c] for before in old for c in kinds.keys() & before.keys()):
+            pending = own
+    return _ingest_register(spark, name, pending, out_dir)
+
+
+def manifest_summary(manifest: DataFrame) -> DataFrame:
+    """Per ingested file: register, year, name, rows, number and names of the columns; the data is not read again."""
+    return manifest.where(F.col("status") == FILE_WRITTEN).select(
+        "register",
+        F.expr("try_cast(year AS int)").alias("year"),
+        F.regexp_replace("path", "^.*/", "").alias("file_name"),
+        F.col("n_rows").alias("num_rows"),
+        F.size("columns").alias("num_columns"),
+        F.col("columns").alias("column_names"),
+    )
+
+
+def write_summary(spark: SparkSession, out_dir: str) -> str:
+    """The summary by file as JSON lines in ``out_dir/summary``; returns the folder."""
+    path = f"{out_dir.rstrip('/')}/summary"
+    manifest_summary(read_manifest(spark, out_dir)).orderBy("register", "year", "file_name").coalesce(1).write.mode("overwrite").json(path)
+    return path
 
 
 def ingest_summary(df: DataFrame, register: str, file: str, year: str = "year") -> DataFrame:

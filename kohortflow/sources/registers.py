@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from kohortflow.sources.files import IDENTIFIERS, file_format, read_csv, source_path, with_inferred_types
 
 
-def _scan(spark: SparkSession, paths: list[str], fmt: str) -> DataFrame:
-    if fmt == "csv":
-        return read_csv(spark, paths, types={})
+def _scan(spark: SparkSession, paths: list[str], fmt: str, path_column: str | None = None) -> DataFrame:
+    if fmt == "csv":  # by the names in the headers, so all years go together
+        return read_csv(spark, paths, types={}, path_column=path_column)
     return spark.read.option("mergeSchema", "true").parquet(*paths)
 
 
@@ -75,19 +75,17 @@ def read_register(
         return f"{location}/{name.replace('{year}', year).replace('{month}', month_glob)}"
 
     groups = [glob("{" + ",".join(year_list) + "}")]
-    if drift or fmt == "csv":  # CSV reads by position, so files with other columns must not share a scan
+    if drift and fmt != "csv":
         groups = [glob(y) for y in year_list]
     frames = []
     for path in groups:
         try:
-            df = _scan(spark, [path], fmt)
+            df = _scan(spark, [path], fmt, "__path")
         except AnalysisException as error:
             if not _absent(error):
                 raise
             continue
-        if fmt == "csv":
-            df = df.withColumn("__path", F.regexp_replace(F.input_file_name(), r"/part-[^/]*$", ""))
-        else:
+        if fmt != "csv":
             df = df.select("*", source_path().alias("__path"))
         regex = _pattern_regex(pattern)
         df = df.withColumn("year", F.regexp_extract("__path", regex, 1).cast("int"))
