@@ -369,6 +369,17 @@ def components(docs: DataFrame) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """The documents with the smallest id of their component, all columns as they were."""
-    gone = components(docs.select("doc_id", "text")).where("NOT kept").select("doc_id")
-    return docs.join(gone.distinct(), "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """One document of each component, that with the smallest id; all columns as they were.
+
+    Of different texts under one id the first by hash goes by the id. Every other is a document of its own, which
+    stays unless its component holds another that is before it: those that go by their ids come first. So a text
+    only goes if a near copy of it stays. Rows equal in id and text stay or go together, rows without id stay.
+    """
+    digest = F.xxhash64(F.coalesce("text", F.lit("")))
+    several = docs.groupBy("doc_id").agg(F.min(digest).alias("_first"), F.max(digest).alias("_last")).where("_first <> _last")
+    own = F.shiftrightunsigned(F.xxhash64("doc_id", digest), 2) + F.lit(1 << 62)  # above all real ids
+    row = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    marked = row.join(several.select(F.col("doc_id").alias("_id"), "_first"), F.col("doc_id") == F.col("_id"), "left")
+    marked = marked.withColumn("_node", F.when(digest != F.col("_first"), own).otherwise(F.col("doc_id")))
+    gone = components(marked.select(F.col("_node").alias("doc_id"), "text")).where("NOT kept").select(F.col("doc_id").alias("_node"))
+    return marked.join(gone.distinct(), "_node", "left_anti").select("_row.*")

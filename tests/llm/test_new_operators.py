@@ -11,7 +11,7 @@ from fractions import Fraction
 import numpy as np
 import pytest
 
-from kohortflow.llm import lattice, runs, whitening
+from kohortflow.llm import lattice, near_dups, runs, whitening
 from kohortflow.llm.queries import vocabulary_path
 
 # ------------------------------------------------------------------ runs
@@ -243,3 +243,19 @@ def test_whitening(spark):
     assert whitening.whitened(spark.createDataFrame([], kind)).count() == 0
     assert whitening.whitened(spark.createDataFrame([(1, [1.0, 2.0]), (2, [1.0, 2.0])], kind)).count() == 0
     assert whitening.whitened(spark.createDataFrame([(1, [1.0, 2.0]), (2, [1.0, 3.0])], kind)).count() == 2
+
+
+# ------------------------------------------------------------------ near duplicates under repeated ids
+
+
+def test_no_text_is_lost_under_a_repeated_id(spark):
+    rng = random.Random(8)
+    a, b, c = (" ".join(f"w{rng.randrange(10**6)}" for _ in range(60)) for _ in range(3))
+    rows = [(5, a, "x"), (5, b, "y"), (3, a, "z"), (7, c, "p"), (7, b + " end", "q"), (None, a, "n"), (8, None, "e"), (8, "", "f"), (9, c, "r")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _first string")
+    kept = near_dups.deduplicated(df)
+    assert kept.columns == ["doc_id", "text", "_first"]
+    got = [tuple(r) for r in kept.collect()]
+    assert sum(r[1] == a and r[0] is not None for r in got) == 1 and (3, a, "z") in got  # the smallest id of the copies
+    assert sum(r[1] in (b, b + " end") for r in got) == 1 and sum(r[1] == c for r in got) == 1
+    assert {r[2] for r in got} >= {"n", "e", "f"} and len(got) == 6
