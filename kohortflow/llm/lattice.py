@@ -68,23 +68,31 @@ def _log_sum(values: list[float]) -> float:
     return top + math.log(sum([math.exp(v - top) for v in values]))
 
 
-def arcs(word: str, pieces: dict[str, float], longest: int) -> list[list[tuple[int, float, tuple[str, ...]]]]:
+def beginnings(pieces: dict[str, float]) -> set[str]:
+    """Every prefix of every piece: a stretch that is none needs no longer ones tried."""
+    return {p[:k] for p in pieces for k in range(1, len(p) + 1)}
+
+
+def arcs(word: str, pieces: dict[str, float], longest: int, starts: set[str] | None = None) -> list[list[tuple[int, float, tuple[str, ...]]]]:
     """Per end place the arcs (start, log probability, pieces) of a word's lattice; the word begins with the mark.
 
-    A character that is no piece has one arc of its bytes, so every place is reached.
+    A character that is no piece has one arc of its bytes, so every place is reached. ``starts`` holds the pieces' ``beginnings``.
     """
     text = SPACE_MARK + word
-    out: list[list[tuple[int, float, tuple[str, ...]]]] = [[]]
-    for end in range(1, len(text) + 1):
-        into = []
-        for start in range(max(0, end - longest), end):
+    n = len(text)
+    out: list[list[tuple[int, float, tuple[str, ...]]]] = [[] for _ in range(n + 1)]
+    for start in range(n):
+        letter = text[start]
+        if letter not in pieces:
+            spelled = tuple(f"<0x{b:02X}>" for b in letter.encode("utf-8", "surrogatepass"))
+            out[start + 1].append((start, sum([pieces[b] for b in spelled]), spelled))
+        for end in range(start + 1, min(n, start + longest) + 1):
             piece = text[start:end]
-            if piece in pieces:
-                into.append((start, pieces[piece], (piece,)))
-        if text[end - 1] not in pieces:
-            spelled = tuple(f"<0x{b:02X}>" for b in text[end - 1].encode("utf-8", "surrogatepass"))
-            into.append((end - 1, sum(pieces[b] for b in spelled), spelled))
-        out.append(into)
+            value = pieces.get(piece)
+            if value is not None:
+                out[end].append((start, value, (piece,)))
+            elif starts is not None and piece not in starts:
+                break
     return out
 
 
@@ -96,9 +104,9 @@ def forward(lattice: list[list[tuple[int, float, tuple[str, ...]]]]) -> list[flo
     return reached
 
 
-def expected(word: str, weight: float, pieces: dict[str, float], longest: int, counts: dict[str, float]) -> None:
+def expected(word: str, weight: float, pieces: dict[str, float], longest: int, counts: dict[str, float], starts: set[str] | None = None) -> None:
     """Add ``weight`` times the expected number of each piece in the word's segmentations to ``counts``."""
-    lattice = arcs(word, pieces, longest)
+    lattice = arcs(word, pieces, longest, starts)
     ahead = forward(lattice)
     whole = ahead[-1]
     back = [TINY] * len(lattice)
@@ -138,13 +146,14 @@ def word_counts(docs: DataFrame) -> DataFrame:
 def piece_counts(counts: DataFrame, pieces: dict[str, float]) -> dict[str, float]:
     """Expected number of each piece in the training tokens; one row per piece reaches the driver."""
     longest = max(map(len, pieces))
-    shared = counts.sparkSession.sparkContext.broadcast(pieces)
+    shared = counts.sparkSession.sparkContext.broadcast((pieces, beginnings(pieces)))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         found: dict[str, float] = {}
+        known, starts = shared.value
         for batch in batches:
             for word, c in zip(batch["word"], batch["c"], strict=True):
-                expected(word, float(c), shared.value, longest, found)
+                expected(word, float(c), known, longest, found, starts)
         yield pd.DataFrame({"piece": pd.Series(list(found), dtype=object), "n": pd.Series(list(found.values()), dtype="float64")})
 
     rows = counts.where((F.col("c") > 0) & (F.col("word") != END)).select("word", "c").mapInPandas(count, "piece string, n double")
@@ -166,11 +175,12 @@ def fitted(counts: DataFrame, pieces: dict[str, float], rounds: int = ROUNDS) ->
 def scored_words(counts: DataFrame, pieces: dict[str, float], end: float) -> DataFrame:
     """``counts`` with ``model``: the log10 probability of each token, all segmentations summed."""
     longest = max(map(len, pieces))
-    shared = counts.sparkSession.sparkContext.broadcast(pieces)
+    shared = counts.sparkSession.sparkContext.broadcast((pieces, beginnings(pieces)))
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known, starts = shared.value
         for batch in batches:
-            values = [(end if w == END else forward(arcs(w, shared.value, longest))[-1]) / math.log(10) for w in batch["word"]]
+            values = [(end if w == END else forward(arcs(w, known, longest, starts))[-1]) / math.log(10) for w in batch["word"]]
             yield batch.assign(model=pd.Series(values, index=batch.index, dtype="float64"))
 
     return counts.mapInPandas(score, "word string, c long, m long, model double")
