@@ -7,15 +7,17 @@ pairs survive at any depth, while other documents part. 16 independent trees mak
 10^5 (and at the depth most nodes end, 1, rarer than 1 in 10^11).
 
 - Equal word sequences are one class first, so copies cost one row.
-- A node of at most 256 documents is compared exhaustively, on 8-bit sketches; a pair that could be similar is
-  confirmed on the full shingle sets. A document's best partner is confirmed first, and the rest only where that did
-  not connect them anyway.
-- A larger node is first compared with a leader. If its documents are connected then, nothing is left to find. If
-  the documents outside the leader's component are few, they are compared with all the node; else the node branches
-  again, down to a fixed depth, where they are compared with all the node however many they are. So no size of a
-  node drops a pair.
-
-Nodes are only counted and split by shuffles; no node above 256 is ever in one task. Components are computed
+- Nodes are compared in cells: a node of at most 256 documents is one, a larger one is cut into slices of about 256 by
+  hash. A cell is compared exhaustively on 8-bit sketches, and a document passes on only its best partner and its best
+  partner of a smaller id, so the pairs grow with the documents and not with the square of a group. The best of all cells are
+  confirmed on the full shingle sets and connected.
+- Likely pairs that are still in different components are then confirmed in groups: what they connect within a cell is one
+  group, known by a signature, so that a group met in many trees is confirmed once. Every text goes to a group once,
+  all intersections are a product of matrices there, and a spanning tree of the links comes out.
+- Large nodes: rows outside the node's most common component, if at most 256, join every slice. With more the node
+  branches again, as deep as it takes; so no size of a node drops a pair. Tables of a finished level are deleted.
+
+Nodes are only counted and split by shuffles; no more than a cell (about 256 documents and 256 apart) is ever compared at once. Components are computed
 by star contractions on the links, never on the driver.
 
 Defined results: a null or empty text, or one without words, has no shingles, is linked with nothing and is its own
@@ -34,13 +36,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kohortflow.llm.common import connected, released, small_batches
-from kohortflow.session import cut_lineage
+from kohortflow.session import cut_lineage, scratch_dir
 
 SHINGLE = 5
 TREES = 16
 COORDINATES = 128
-SMALL = 256  # documents of a node that is compared exhaustively
-DEPTH = 7
+SMALL = 256  # documents of a node, or of a slice of one, that are compared in one task
 NEEDED = 75  # percent
 DEVIATIONS = 5  # by which a sketch may fall short of the expected agreement
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -173,9 +174,6 @@ def _next(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _children(batch.column(1).to_numpy(), batch.column(0).to_numpy().view(np.uint64), _embedding(batch.column(2)), False)
 
 
-PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("agree", pa.int32())])
-
-
 def _likely(na: np.ndarray, nb: np.ndarray, sa: np.ndarray, sb: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Which pairs may reach the similarity, by their sizes and sketches; how many sketch bytes agree."""
     agree = (sa == sb).sum(axis=1).astype(np.int32)
@@ -184,47 +182,88 @@ def _likely(na: np.ndarray, nb: np.ndarray, sa: np.ndarray, sb: np.ndarray) -> t
     return (100 * np.minimum(na, nb) >= NEEDED * np.maximum(na, nb)) & (agree >= least), agree
 
 
-def _within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Likely pairs within the small nodes of a partition sorted by node; a node may continue in the next batch."""
+def _by_key(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """Tables of whole groups from a partition sorted by ``key``; a group may continue in the next batch."""
     held = None
     for batch in batches:
         part = pa.Table.from_batches([batch])
         held = part if held is None else pa.concat_tables([held, part])
-        if not held.num_rows:
-            continue
-        nodes = held.column("node").to_numpy()
-        cut = int(np.searchsorted(nodes, nodes[-1]))
-        yield from _pairs(held.slice(0, cut))
-        held = held.slice(cut)
-    if held is not None:
-        yield from _pairs(held)
-
-
-def _pairs(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-    if rows.num_rows < 2:
-        return
-    node, ids, n, component = (rows.column(c).to_numpy() for c in ("node", "id", "n_shingles", "component"))
+        if held.num_rows:
+            keys = held.column(key).to_numpy()
+            cut = int(np.searchsorted(keys, keys[-1]))
+            if cut:
+                yield held.slice(0, cut)
+                held = held.slice(cut)
+    if held is not None and held.num_rows:
+        yield held
+
+
+def _scan(rows: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Positions of the likely pairs of different components within each cell, and their agreement."""
+    cell, n, component = (rows.column(c).to_numpy() for c in ("cell", "n_shingles", "component"))
     sketch = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8).reshape(-1, COORDINATES)
-    for d in range(1, SMALL):
-        left = np.flatnonzero(node[:-d] == node[d:])
+    for d in range(1, rows.num_rows):
+        left = np.flatnonzero(cell[:-d] == cell[d:])
         if not len(left):
             return
         for at in np.array_split(left, len(left) // 20_000 + 1):
             at = at[component[at] != component[at + d]]
             ok, agree = _likely(n[at], n[at + d], sketch[at], sketch[at + d])
-            a, b = ids[at[ok]], ids[at[ok] + d]
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(agree[ok])], schema=PAIRS)
-
-
-def _against(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Likely ones of given pairs."""
-    for batch in batches:
-        if batch.num_rows:
-            a, b, na, nb = (batch.column(i).to_numpy() for i in range(4))
-            sa, sb = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, COORDINATES) for i in (4, 5))
-            ok, agree = _likely(na, nb, sa, sb)
-            a, b = a[ok], b[ok]
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(agree[ok])], schema=PAIRS)
+            yield at[ok], at[ok] + d, agree[ok]
+
+
+BEST = pa.schema([("cell", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("agree", pa.int32())])
+BEST_SQL = "cell long, a long, b long, agree int"
+
+
+def _best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The likely pairs of each document of a cell with its best partner and its best partner of a smaller id."""
+    for rows in _by_key(batches, "cell"):
+        cell, ids = rows.column("cell").to_numpy(), rows.column("id").to_numpy()
+        score = np.full((2, len(ids)), -1, np.int32)
+        partner = np.zeros((2, len(ids)), np.int64)
+        for i, j, agree in _scan(rows):
+            for x, y in ((i, j), (j, i)):
+                for kind, allowed in enumerate((np.ones(len(x), bool), ids[y] < ids[x])):
+                    better = allowed & (agree > score[kind, x])
+                    score[kind, x[better]], partner[kind, x[better]] = agree[better], ids[y[better]]
+        for kind in (0, 1):
+            at = np.flatnonzero(score[kind] >= 0)
+            if kind:
+                at = at[partner[1, at] != partner[0, at]]
+            one, other = ids[at], partner[kind, at]
+            yield _batch(BEST, [cell[at], np.minimum(one, other), np.maximum(one, other), score[kind, at]])
+
+
+GROUPS = pa.schema([("sig", pa.int64()), ("id", pa.int64()), ("size", pa.int64()), ("low", pa.int64()), ("high", pa.int64())])
+GROUPS_SQL = "sig long, id long, size long, low long, high long"
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents of each cell that likely pairs connect, under a signature of the group's ids."""
+    for rows in _by_key(batches, "cell"):
+        ids = rows.column("id").to_numpy()
+        found = [(i, j) for i, j, _ in _scan(rows) if len(i)]
+        if not found:
+            continue
+        i, j = (np.concatenate(side) for side in zip(*found, strict=True))
+        label, before = np.arange(len(ids)), None
+        while before is None or (label != before).any():
+            before = label.copy()
+            least = np.minimum(label[i], label[j])
+            np.minimum.at(label, i, least)
+            np.minimum.at(label, j, least)
+            label = label[label]
+        at = np.unique(np.concatenate([i, j]))
+        _, group = np.unique(label[at], return_inverse=True)
+        order = np.lexsort((ids[at], group))
+        group, member = group[order], ids[at][order]
+        firsts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+        size = np.diff(np.r_[firsts, len(group)])
+        with np.errstate(over="ignore"):
+            sig = mixed(np.add.reduceat(mixed(member.view(np.uint64) + MIX), firsts) + size.astype(np.uint64)).view(np.int64)
+        lasts = firsts + size - 1
+        yield _batch(GROUPS, [sig[group], member, size[group], member[firsts][group], member[lasts][group]])
 
 
 LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -238,14 +277,66 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a, b, ta, tb in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
             if last[0] != a:
                 last = (a, shingles(ta)[0])
-            sa, sb = last[1], shingles(tb)[0]
-            both = len(np.intersect1d(sa, sb, assume_unique=True))
-            if 100 * both >= NEEDED * (len(sa) + len(sb) - both):
+            if _similar(last[1], shingles(tb)[0]):
                 found[0].append(a)
                 found[1].append(b)
         yield _batch(LINKS, found)
 
 
+def _similar(sa: np.ndarray, sb: np.ndarray) -> bool:
+    both = len(np.intersect1d(sa, sb, assume_unique=True))
+    return 100 * both >= NEEDED * (len(sa) + len(sb) - both)
+
+
+def _forest(sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Links of sets that reach the similarity, one spanning tree for all that are connected."""
+    if len(sets) == 2:
+        return [(0, 1)] if _similar(*sets) else []
+    sizes = np.array([len(x) for x in sets])
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    _, token, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    common = np.flatnonzero(times > 1)
+    place = np.full(len(times), -1)
+    place[common] = np.arange(len(common))
+    column = place[token]
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    both = np.zeros((len(sets), len(sets)), np.float64)
+    step = 4096  # tokens at a time; a product of zeros and ones is exact
+    for first in range(0, len(common), step):
+        a, b = np.searchsorted(column, [first, first + step])
+        held = np.zeros((len(sets), step), np.float32)
+        held[owner[a:b], column[a:b] - first] = 1
+        both += held @ held.T
+    linked = 100 * both >= NEEDED * (sizes[:, None] + sizes[None, :] - both)
+    out, left = [], np.ones(len(sets), bool)
+    for root in range(len(sets)):
+        if not left[root]:
+            continue
+        left[root] = False
+        front = [root]
+        while front:
+            at = front.pop()
+            near = np.flatnonzero(linked[at] & left)
+            left[near] = False
+            out += [(at, int(x)) for x in near]
+            front += near.tolist()
+    return out
+
+
+def _exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links within groups (sig, id, text) by their full sets."""
+    for rows in _by_key(batches, "sig"):
+        sig, ids = rows.column("sig").to_numpy(), rows.column("id").to_numpy()
+        firsts = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1]])
+        found: list[list] = [[], []]
+        for a, b in zip(firsts, np.r_[firsts[1:], len(sig)], strict=True):
+            links = _forest([shingles(t)[0] for t in rows.column("text").slice(a, b - a).to_pylist()])
+            found[0] += [ids[a + x] for x, _ in links]
+            found[1] += [ids[a + y] for _, y in links]
+        yield _batch(LINKS, found)
+
+
 class _Join:
     """The state of one join: representatives, texts that may be needed, components so far."""
 
@@ -254,6 +345,7 @@ class _Join:
         small_batches(self.spark)
         one = docs.where("doc_id IS NOT NULL").select("doc_id", "text")
         self.docs = one
+        self.steps: list[str] = []
         prepared = cut_lineage(one.mapInArrow(_prepare, PREPARED_SQL))
         self.prepared = prepared
         classes = prepared.where("n_shingles > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("id"))
@@ -261,42 +353,68 @@ class _Join:
         reps = prepared.join(self.classes.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi").where("n_shingles > 0")
         self.reps = cut_lineage(reps.select(F.col("doc_id").alias("id"), "n_shingles", "tokens", "sketch"))
         self.components = None
-        self.tried: list[DataFrame] = []
+        self.tried: list[DataFrame] = []  # pairs, groups that were confirmed or refuted on full sets
+        self.done: list[DataFrame] = []
         self.texts = None
 
+    def stored(self, df: DataFrame) -> DataFrame:
+        """``df`` as a table that goes with :meth:`drop_steps`."""
+        path = f"{scratch_dir(self.spark, 'step')}/data"
+        df.write.parquet(path)
+        self.steps.append(path)
+        return self.spark.read.parquet(path)
+
+    def drop_steps(self) -> None:
+        """Delete the tables of a finished level, which nothing reads again."""
+        for path in self.steps:
+            folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+        self.steps = []
+        released(self.spark)
+
     def labelled(self, frame: DataFrame) -> DataFrame:
         """``frame`` with the component of its ``id``; an id without links is its own."""
         if self.components is None:
             return frame.withColumn("component", F.col("id"))
         return frame.join(self.components, "id", "left").withColumn("component", F.coalesce("component", "id"))
 
-    def untried(self, pairs: DataFrame) -> DataFrame:
-        """Distinct pairs that no earlier level has looked at."""
-        pairs = pairs.groupBy("a", "b").agg(F.max("agree").alias("agree"))
+    def scanned(self, cells: DataFrame, scan, schema: str) -> DataFrame:
+        """``scan`` over the sketches of (cell, id, component)."""
+        rows = cells.join(self.reps.select("id", "n_shingles", "sketch"), "id").select("cell", "id", "n_shingles", "component", "sketch")
+        return self.stored(rows.repartition("cell").sortWithinPartitions("cell").mapInArrow(scan, schema))
+
+    def confirm_best(self, best: DataFrame) -> None:
+        """Confirm each document's best pair and best pair with a smaller id, over all its cells."""
+        both = best.select(F.col("a").alias("id"), F.col("b").alias("other"), "agree").union(best.select("b", "a", "agree"))
+        by = F.struct("agree", -F.col("other"))
+        smaller = F.col("other") < F.col("id")
+        top = both.groupBy("id").agg(F.max_by("other", by).alias("any"), F.max_by("other", F.when(smaller, by)).alias("smaller"))
+        other = F.explode(F.array("any", "smaller")).alias("other")
+        pairs = top.withColumn("smaller", F.when(F.col("smaller") < F.col("id"), F.col("smaller"))).select("id", other).where("other IS NOT NULL")
+        pairs = pairs.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
         if self.tried:
             pairs = pairs.join(reduce(DataFrame.union, self.tried), ["a", "b"], "left_anti")
-        return cut_lineage(pairs)
-
-    def confirm(self, pairs: DataFrame) -> None:
-        """Confirm pairs on full sets and connect what they link: best partners first, then what is still apart."""
-        if pairs.isEmpty():
-            return
-        self.tried.append(pairs.select("a", "b"))
-        best = pairs.groupBy("b").agg(F.max_by("a", F.struct("agree", -F.col("a"))).alias("a")).select("a", "b")
-        self._connect(best)
-        rest = pairs.select("a", "b").join(best, ["a", "b"], "left_anti")
-        if self.components is not None:
-            for side in ("a", "b"):
-                rest = rest.join(self.components.select(F.col("id").alias(side), F.col("component").alias(f"c{side}")), side, "left")
-            rest = rest.where("coalesce(ca, a) <> coalesce(cb, b)").select("a", "b")
-        rest = cut_lineage(rest)
-        if not rest.isEmpty():
-            self._connect(rest)
-
-    def _connect(self, pairs: DataFrame) -> None:
+        pairs = cut_lineage(pairs)
+        self.tried.append(pairs)
         a = self.texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
         b = self.texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
-        found = cut_lineage(pairs.join(b, "b").join(a, "a").select("a", "b", "ta", "tb").mapInArrow(_confirm, "a long, b long"))
+        self._connect(pairs.join(b, "b").join(a, "a").select("a", "b", "ta", "tb").mapInArrow(_confirm, "a long, b long"))
+
+    def confirm_groups(self, cells: DataFrame) -> None:
+        """Confirm all likely pairs across components within cells; a group met in several cells only once."""
+        groups = self.scanned(cells, _groups, GROUPS_SQL).distinct()
+        if self.done:
+            groups = groups.join(reduce(DataFrame.union, self.done), "sig", "left_anti")
+        pair = self.tried and reduce(DataFrame.union, self.tried).selectExpr("a AS low", "b AS high", "2L AS size")
+        if pair:
+            groups = groups.join(pair, ["low", "high", "size"], "left_anti")
+        groups = self.stored(groups.select("sig", "id"))
+        self.done.append(cut_lineage(groups.select("sig").distinct()))
+        texts = groups.join(self.texts.withColumnRenamed("doc_id", "id"), "id").select("sig", "id", "text")
+        self._connect(texts.repartition("sig").sortWithinPartitions("sig").mapInArrow(_exact, "a long, b long"))
+
+    def _connect(self, links: DataFrame) -> None:
+        found = self.stored(links)
         if found.isEmpty():
             return
         # what was connected before is a star already, so only stars and new links are contracted
@@ -306,55 +424,43 @@ class _Join:
     def run(self) -> None:
         rep_tokens = self.reps.select("id", "tokens")
         level = cut_lineage(rep_tokens.mapInArrow(_roots, "node long, id long"))
-        for depth in range(1, DEPTH + 1):
-            counted = level.groupBy("node").agg(F.count("*").alias("n"), F.min_by("id", F.xxhash64("node", "id")).alias("leader")).where("n > 1")
-            nodes = cut_lineage(level.join(counted, "node"))
-            described = cut_lineage(self.labelled(nodes).join(self.reps.select("id", "n_shingles", "sketch"), "id"))
-            released(self.spark)
-            small = described.where(F.col("n") <= SMALL).select("node", "id", "n_shingles", "component", "sketch")
-            pairs = small.repartition("node").sortWithinPartitions("node").mapInArrow(_within, "a long, b long, agree int")
-            large = described.where(F.col("n") > SMALL)
-            pairs = pairs.union(self._with_members(large, large.where("id = leader")))
-            pairs = self.untried(pairs)
-            if depth == 1:
-                wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).union(large.select("id")).distinct()
+        while True:
+            counted = level.groupBy("node").agg(F.count("*").alias("n")).where("n > 1")
+            nodes = self.stored(level.join(counted, "node"))
+            slices = F.ceil(F.col("n") / SMALL)
+            own = F.pmod(F.xxhash64("node", "id"), slices)
+            # the last bit of a cell tells a slice of a large node from a whole small one
+            slice_of = lambda number: F.shiftleft(F.xxhash64("node", number), 1) + 1
+            cell = F.when(F.col("n") <= SMALL, F.shiftleft("node", 1)).otherwise(slice_of(own)).alias("cell")
+            best = self.scanned(self.labelled(nodes.select(cell, "id")), _best, BEST_SQL)
+            large = nodes.where(F.col("n") > SMALL)
+            if self.texts is None:
+                wanted = best.select(F.col("a").alias("doc_id")).union(best.select("b")).union(large.select("id")).distinct()
                 ids = self.classes.select(F.col("id").alias("doc_id"))
                 self.texts = cut_lineage(self.docs.join(wanted.join(ids, "doc_id", "left_semi"), "doc_id", "left_semi"))
-                released(self.spark)
-            self.confirm(pairs)
-            if large.isEmpty():
-                break
-            level = self._unsettled(large.select("node", "id", "leader", "n_shingles", "sketch"), depth)
-            if level is None:
+            self.confirm_best(best)
+            some = best.where("cell % 2 = 0")
+            rows = self.stored(self.labelled(some.select("cell", F.col("a").alias("id")).union(some.select("cell", "b")).distinct()))
+            open_cells = rows.groupBy("cell").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).where("_low <> _high").select("cell")
+            cells = rows.join(open_cells, "cell").select("cell", "id", "component")
+            # a large node: its most common component, and the rows outside of it
+            rows = self.stored(self.labelled(large))
+            per = rows.groupBy("node", "component").agg(F.count("*").alias("c"))
+            heads = per.groupBy("node").agg(F.max_by("component", F.struct("c", "component")).alias("head"), (F.sum("c") - F.max("c")).alias("apart"))
+            heads = self.stored(heads.where("apart > 0"))
+            few = rows.join(heads.where(F.col("apart") <= SMALL), "node")
+            # the few rows apart meet every slice of the node, which adds at most as many rows as the node has
+            everywhere = F.sequence(F.lit(0).cast("long"), slices - 1)
+            number = F.explode(F.when(F.col("component") == F.col("head"), F.array(own)).otherwise(everywhere)).alias("number")
+            met = few.select("node", "id", "component", number).select(slice_of(F.col("number")).alias("cell"), "id", "component")
+            self.confirm_groups(cells.union(met))
+            many = heads.where(F.col("apart") > SMALL).select("node")
+            if many.isEmpty():
                 break
-            if depth == 1:
-                rep_tokens = cut_lineage(rep_tokens.join(level.select("id").distinct(), "id", "left_semi"))
-            level = cut_lineage(level.join(rep_tokens, "id").select("node", "id", "tokens").mapInArrow(_next, "node long, id long"))
-            released(self.spark)
-
-    def _with_members(self, large: DataFrame, some: DataFrame) -> DataFrame:
-        """Likely pairs of ``some`` rows of each node with all rows of that node in other components."""
-        left = some.select("node", F.col("id").alias("a"), F.col("n_shingles").alias("na"), F.col("sketch").alias("sa"), F.col("component").alias("ca"))
-        right = large.select("node", F.col("id").alias("b"), F.col("n_shingles").alias("nb"), F.col("sketch").alias("sb"), F.col("component").alias("cb"))
-        pairs = right.join(left, "node").where("ca <> cb AND 100 * least(na, nb) >= 75 * greatest(na, nb)")
-        return pairs.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(_against, "a long, b long, agree int")
-
-    def _unsettled(self, large: DataFrame, depth: int) -> DataFrame | None:
-        """Rows of the nodes that must branch again; the nodes with few documents apart are finished here."""
-        rows = cut_lineage(self.labelled(large))
-        heads = rows.where("id = leader").select("node", F.col("component").alias("head"))
-        apart = rows.join(heads, "node").where("component <> head")
-        counts = cut_lineage(apart.groupBy("node").agg(F.count("*").alias("apart")))
-        if counts.isEmpty():
-            return None
-        limit = SMALL if depth < DEPTH else 1 << 62
-        few = counts.where(F.col("apart") <= limit).select("node")
-        some = apart.join(few, "node").select(*rows.columns)
-        self.confirm(self.untried(self._with_members(rows.join(few, "node"), some)))
-        many = counts.where(F.col("apart") > limit).select("node")
-        if many.isEmpty():
-            return None
-        return rows.join(many, "node").select("node", "id")
+            level = rows.join(many, "node").select("node", "id").join(rep_tokens, "id").select("node", "id", "tokens")
+            level = cut_lineage(level.mapInArrow(_next, "node long, id long"))
+            self.drop_steps()
+        self.drop_steps()
 
 
 def components(docs: DataFrame) -> DataFrame:
