@@ -1,10 +1,10 @@
 """Near-duplicate documents by a chosen-path similarity join.
 
 A document is the set of its five-word shingles, embedded as 128 minwise tokens. A tree branches documents by
-selected tokens: a node, which is a path of tokens, picks one coordinate (with probability 1/3 a second), and the
-documents that agree there form the child. Copies with a similarity of 0.75 stay together in 1.33 * 0.75 = 1 child on average, so
-pairs survive at any depth, while other documents part. 16 independent trees make a miss at 0.75 rarer than 1 in
-10^5 (and at the depth most nodes end, 1, rarer than 1 in 10^11).
+selected tokens: a node, which is a path of tokens, picks one coordinate (at a root with probability 1/3 a second, below with
+1/2), and the documents that agree there form the child. Copies with a similarity of 0.75 stay together in 1 child on average
+at the root and in 1.1 below, so pairs survive at any depth, while other documents part. There are 16 independent trees.
+A pair at 0.75 is missed at depth 1, where most nodes end, with less than 1 in 10^11; deeper the recall is measured, see the README.
 
 - Equal word sequences are one class first, so copies cost one row.
 - Nodes are compared in cells: a node of at most 256 documents is one, a larger one is cut into slices of about 256 by
@@ -42,6 +42,7 @@ SHINGLE = 5
 TREES = 16
 COORDINATES = 128
 SMALL = 256  # documents of a node, or of a slice of one, that are compared in one task
+STEPS = 6  # tokens that a large node takes at most in one round
 NEEDED = 75  # percent
 DEVIATIONS = 5  # by which a sketch may fall short of the expected agreement
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -140,13 +141,13 @@ NODES = pa.schema([("node", pa.int64()), ("id", pa.int64())])
 
 
 def _children(ids: np.ndarray, paths: np.ndarray, tokens: np.ndarray, roots: bool) -> pa.RecordBatch:
-    """Child nodes of each document: one by the coordinate its node picks, and with probability 1/3 a second."""
+    """Child nodes of each document: one by the coordinate its node picks, and with probability 1/3 (below the roots 1/2) a second."""
     rows = np.arange(len(ids))
     with np.errstate(over="ignore"):
         chosen = mixed(paths + np.uint64(11))
         first = (paths * np.uint64(COORDINATES // TREES)) if roots else chosen  # roots: other coordinates for each tree
         spread = (chosen >> np.uint64(8)) % np.uint64(COORDINATES - 1) + np.uint64(1)
-        two = (chosen >> np.uint64(40)) % np.uint64(3) == 0
+        two = (chosen >> np.uint64(40)) % np.uint64(3 if roots else 2) == 0
         a = (first % np.uint64(COORDINATES)).astype(np.int64)
         b = ((first + spread) % np.uint64(COORDINATES)).astype(np.int64)
         path = mixed(paths + MIX)
@@ -169,9 +170,19 @@ def _roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _next(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Nodes some steps below each (node, id, tokens, steps); all steps of a row are taken at once."""
     for batch in batches:
-        if batch.num_rows:
-            yield _children(batch.column(1).to_numpy(), batch.column(0).to_numpy().view(np.uint64), _embedding(batch.column(2)), False)
+        if not batch.num_rows:
+            continue
+        nodes, ids, steps = (batch.column(i).to_numpy() for i in (0, 1, 3))
+        tokens, at = _embedding(batch.column(2)), np.arange(len(ids))
+        while len(at):
+            made = _children(at, nodes.view(np.uint64), tokens[at], False)
+            nodes, at = made.column(0).to_numpy(), made.column(1).to_numpy()
+            steps = steps - 1
+            ends = steps[at] <= 0
+            yield _batch(NODES, [nodes[ends], ids[at[ends]]])
+            nodes, at = nodes[~ends], at[~ends]
 
 
 def _likely(na: np.ndarray, nb: np.ndarray, sa: np.ndarray, sb: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -457,7 +468,9 @@ class _Join:
             many = heads.where(F.col("apart") > SMALL).select("node")
             if many.isEmpty():
                 break
-            level = rows.join(many, "node").select("node", "id").join(rep_tokens, "id").select("node", "id", "tokens")
+            # a node of many times the limit takes several tokens at once, which saves rounds of shuffles
+            steps = F.least(F.ceil(2 * F.log2(F.col("n") / SMALL)), F.lit(STEPS)).cast("int").alias("steps")
+            level = rows.join(many, "node").select("node", "id", steps).join(rep_tokens, "id").select("node", "id", "tokens", "steps")
             level = cut_lineage(level.mapInArrow(_next, "node long, id long"))
             self.drop_steps()
         self.drop_steps()
