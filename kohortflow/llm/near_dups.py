@@ -357,8 +357,8 @@ class _Join:
         one = docs.where("doc_id IS NOT NULL").select("doc_id", "text")
         self.docs = one
         self.steps: list[str] = []
-        prepared = cut_lineage(one.mapInArrow(_prepare, PREPARED_SQL))
-        self.prepared = prepared
+        prepared = self.stored(one.mapInArrow(_prepare, PREPARED_SQL))
+        self.prepared = cut_lineage(prepared.select("doc_id", "n_shingles", "k1", "k2"))
         classes = prepared.where("n_shingles > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("id"))
         self.classes = cut_lineage(classes)
         reps = prepared.join(self.classes.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi").where("n_shingles > 0")
@@ -367,6 +367,7 @@ class _Join:
         self.tried: list[DataFrame] = []  # pairs, groups that were confirmed or refuted on full sets
         self.done: list[DataFrame] = []
         self.texts = None
+        self.drop_steps()
 
     def stored(self, df: DataFrame) -> DataFrame:
         """``df`` as a table that goes with :meth:`drop_steps`."""
@@ -375,12 +376,12 @@ class _Join:
         self.steps.append(path)
         return self.spark.read.parquet(path)
 
-    def drop_steps(self) -> None:
-        """Delete the tables of a finished level, which nothing reads again."""
-        for path in self.steps:
+    def drop_steps(self, end: int | None = None) -> None:
+        """Delete the oldest step tables, which nothing reads again, and the shuffle files behind them."""
+        for path in self.steps[:end]:
             folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
             folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
-        self.steps = []
+        self.steps = [] if end is None else self.steps[end:]
         released(self.spark)
 
     def labelled(self, frame: DataFrame) -> DataFrame:
@@ -434,17 +435,19 @@ class _Join:
 
     def run(self) -> None:
         rep_tokens = self.reps.select("id", "tokens")
-        level = cut_lineage(rep_tokens.mapInArrow(_roots, "node long, id long"))
+        level = self.stored(rep_tokens.mapInArrow(_roots, "node long, id long"))
         while True:
             counted = level.groupBy("node").agg(F.count("*").alias("n")).where("n > 1")
             nodes = self.stored(level.join(counted, "node"))
+            large = self.stored(nodes.where(F.col("n") > SMALL))
+            self.drop_steps(1)  # the level
             slices = F.ceil(F.col("n") / SMALL)
             own = F.pmod(F.xxhash64("node", "id"), slices)
             # the last bit of a cell tells a slice of a large node from a whole small one
             slice_of = lambda number: F.shiftleft(F.xxhash64("node", number), 1) + 1
             cell = F.when(F.col("n") <= SMALL, F.shiftleft("node", 1)).otherwise(slice_of(own)).alias("cell")
             best = self.scanned(self.labelled(nodes.select(cell, "id")), _best, BEST_SQL)
-            large = nodes.where(F.col("n") > SMALL)
+            self.drop_steps(1)  # the nodes
             if self.texts is None:
                 wanted = best.select(F.col("a").alias("doc_id")).union(best.select("b")).union(large.select("id")).distinct()
                 ids = self.classes.select(F.col("id").alias("doc_id"))
@@ -464,15 +467,18 @@ class _Join:
             everywhere = F.sequence(F.lit(0).cast("long"), slices - 1)
             number = F.explode(F.when(F.col("component") == F.col("head"), F.array(own)).otherwise(everywhere)).alias("number")
             met = few.select("node", "id", "component", number).select(slice_of(F.col("number")).alias("cell"), "id", "component")
-            self.confirm_groups(cells.union(met))
+            cells = self.stored(cells.union(met))
+            # most of what is apart here is a piece of one component, which one more round of best pairs joins
+            self.confirm_best(self.scanned(cells, _best, BEST_SQL))
+            self.confirm_groups(self.labelled(cells.select("cell", "id")))
             many = heads.where(F.col("apart") > SMALL).select("node")
             if many.isEmpty():
                 break
             # a node of many times the limit takes several tokens at once, which saves rounds of shuffles
             steps = F.least(F.ceil(2 * F.log2(F.col("n") / SMALL)), F.lit(STEPS)).cast("int").alias("steps")
             level = rows.join(many, "node").select("node", "id", steps).join(rep_tokens, "id").select("node", "id", "tokens", "steps")
-            level = cut_lineage(level.mapInArrow(_next, "node long, id long"))
-            self.drop_steps()
+            level = self.stored(level.mapInArrow(_next, "node long, id long"))
+            self.drop_steps(-1)  # all but the next level
         self.drop_steps()
 
 
