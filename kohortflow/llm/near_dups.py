@@ -21,7 +21,7 @@ Nodes are only counted and split by shuffles; no more than a cell (about 256 doc
 by star contractions on the links, never on the driver.
 
 Defined results: a null or empty text, or one without words, has no shingles, is linked with nothing and is its own
-component; fewer than five words are one shingle. Repeated rows of an id are one document, whose first text by order
+component; fewer than five words are one shingle. Rows of one id are one document, and a link of any of its texts
 counts; a null id is kept apart from all others and never linked. An empty table gives an empty result.
 """
 

@@ -92,6 +92,26 @@ def test_near_duplicates_of_large_nodes(spark, monkeypatch):
     assert got == near_components(rows)
 
 
+@pytest.mark.parametrize("size", [2, 9, 40])
+def test_forest_spans_all_links(size):
+    """The tree of a group connects what all pairs of its sets connect, and holds true links only."""
+    rng = np.random.default_rng(size)
+    base = rng.choice(10_000, 60, replace=False).astype(np.uint64)
+    sets = [np.unique(np.where(rng.random(60) < 0.12, rng.integers(10_000, 1 << 40, 60).astype(np.uint64), base)) for _ in range(size)]
+    linked = {(a, b) for a in range(size) for b in range(a) if near_dups._similar(sets[a], sets[b])}
+
+    def parts(links):
+        label = list(range(size))
+        for a, b in links:
+            old, new = label[a], label[b]
+            label = [new if x == old else x for x in label]
+        return {tuple(i for i in range(size) if label[i] == x) for x in label}
+
+    tree = near_dups._forest(sets)
+    assert {(max(p), min(p)) for p in tree} <= linked and parts(tree) == parts(linked)
+    assert len(tree) == size - len(parts(linked))
+
+
 @pytest.mark.parametrize("batches", [1, 3])
 def test_substrings(docs, corpus, batches):
     got = {r.doc_id: tuple(r)[1:] for r in substrings.removals(docs, batches).collect()}
