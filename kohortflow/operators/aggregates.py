@@ -54,11 +54,38 @@ def long_form(df: DataFrame, keys: Sequence[str], columns: Sequence[str], kind:
     )
 
 
+#: Rows above which a group is joined by a broadcast of its single row; a smaller group may be one task's.
+LARGE_GROUP = 100_000
+
+
+def with_group_row(rows: DataFrame, keys: Sequence[str], groups: DataFrame, n: str) -> DataFrame:
+    """``rows`` beside the columns of their group's row in ``groups`` (keys, ``n`` = rows of the group, ...).
+
+    NULL is a group. AQE does not turn a join on a few keys into a broadcast, as most partitions of such a side
+    are empty, and sorts a whole group in one task. So the rows of large groups are never shuffled: a table has
+    at most one such group in :data:`LARGE_GROUP` rows, and these are broadcast. The other groups are shuffled.
+    """
+    found = groups.select(*[F.col(k).alias(f"__k_{k}") for k in keys], F.struct(*groups.columns).alias("__group"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys])
+    large = F.col(f"__group.{n}") > LARGE_GROUP
+    tagged = rows.join(F.broadcast(found.where(large)), same, "left")
+    others = tagged.where(F.col("__group").isNull()).select(*rows.columns).join(found.where(~large), same)
+    new = [F.col(f"__group.{c}").alias(c) for c in groups.columns if c not in keys]
+    return reduce(DataFrame.union, [df.select(*rows.columns, *new) for df in (tagged.where(F.col("__group").isNotNull()), others)])
+
+
 def group_quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float], accuracy: int = 10_000
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    probs: dict[str, float],
+    accuracy: int = 10_000,
+    n: str | None = None,
 ) -> DataFrame:
     """Exact linear-interpolated quantiles per group, one column per entry of ``probs`` (name -> probability).
 
+    With ``n``, a column of that name has the group's number of values.
+
     Spark's ``percentile`` keeps all distinct values of a group in one buffer. Here a quantile sketch first
     brackets every quantile. The second pass keeps the single values inside a bracket and counts whole
     stretches between brackets, each with its lowest and highest value, so that no task ever holds a group:
@@ -71,15 +98,13 @@ def group_quantiles(
     rows = df.select(*keys, F.col(value).cast("double").alias("__v")).where(F.col("__v").isNotNull())
     sketch = F.percentile_approx("__v", F.array(*[F.lit(b) for b in bounds]), F.lit(accuracy))
     stats = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), sketch.alias("__b"))
-    stats = stats.select(*[F.col(k).alias(f"__k_{k}") for k in keys], "__n", "__b")
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys])
 
     below = [F.col("__v") < F.get("__b", F.lit(2 * i)) for i in range(len(probs))]
     above = [F.col("__v") > F.get("__b", F.lit(2 * i + 1)) for i in range(len(probs))]
     outside = reduce(lambda a, b: a & b, [x | y for x, y in zip(below, above, strict=True)])
     stretch = reduce(lambda a, b: a + b, [x.cast("int") for x in below])  # which gap between the brackets
     pieces = (
-        rows.join(stats, same)
+        with_group_row(rows, keys, stats, "__n")
         .select(
             *keys,
             "__n",
@@ -109,7 +134,7 @@ def group_quantiles(
         missed = F.raise_error(F.lit("quantile outside its bracket")).cast("double")
         low, high = F.coalesce(F.col(f"__lo{i}"), missed), F.coalesce(F.col(f"__hi{i}"), missed)
         out.append((low + (high - low) * (position - F.floor(position))).alias(name))
-    return picked.select(*keys, *out)
+    return picked.select(*keys, *([F.col("__n").alias(n)] if n else []), *out)
 
 
 def group_summary(df: DataFrame, group: str, columns: Sequence[str]) -> DataFrame:
@@ -160,14 +185,12 @@ def contingency(df: DataFrame, category: str, group: str, groups: Sequence, coun
 
 def box_stats(df: DataFrame, group: str, value: str, factor: float = 1.5) -> DataFrame:
     """Quartiles, whiskers (extreme values within ``factor`` IQR) and outlier count per group."""
-    quartiles = group_quantiles(df, [group], value, {"q1": 0.25, "median": 0.5, "q3": 0.75}).withColumnRenamed(
-        group, "__g"
-    )
+    quartiles = group_quantiles(df, [group], value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, n="__n")
     spread = F.lit(factor) * (F.col("q3") - F.col("q1"))
     inside = F.col("__v").between(F.col("q1") - spread, F.col("q3") + spread)
+    rows = df.select(group, F.col(value).cast("double").alias("__v")).where(F.col("__v").isNotNull())
     return (
-        df.select(group, F.col(value).cast("double").alias("__v"))
-        .join(quartiles, F.col(group).eqNullSafe(F.col("__g")))
+        with_group_row(rows, [group], quartiles, "__n")
         .groupBy(group, "q1", "median", "q3")
         .agg(
             F.min(F.when(inside, F.col("__v"))).alias("whisker_low"),

@@ -10,6 +10,7 @@ from kohortflow.functions.codes import icd_range_join, parse_code_list, severe_c
 from kohortflow.operators import aggregates as ag
 from kohortflow.operators.cohort import exact_match, outcome_by_period, rank_in_strata
 from kohortflow.operators.joins import full_outer_merge
+from kohortflow.operators.quality import iqr_outliers
 
 N = 60_000
 
@@ -71,6 +72,29 @@ def test_quantiles_of_one_group_move_few_rows(spark, small_skew_settings):
     assert " percentile(" not in plan
 
 
+@pytest.mark.parametrize("run", [
+    lambda df: ag.group_quantiles(df, ["g"], "v", {"m": 0.5}),
+    lambda df: ag.group_summary(df, "g", ["v"]).select("g", "median"),
+    lambda df: ag.box_stats(df, "g", "v").select("g", "median"),
+    lambda df: iqr_outliers(df, ["v"]).select("n_outliers"),
+])
+def test_rows_of_a_large_group_are_not_shuffled(spark, small_skew_settings, run):
+    df = spark.range(0, 300_000, 1, 8).select((F.col("id") < 0).cast("int").alias("g"), (F.xxhash64("id") % 10_000_000 / 7).alias("v"))
+    out = run(df)
+    assert len(out.collect()) == 1
+    joins = re.findall(r"\w+Join [^\n]*__k_\w+#[^\n]*", final_plan(out))
+    assert joins and not [j for j in joins if "SortMergeJoin" in j or "Shuffled" in j]
+
+
+def test_quantiles_with_large_small_and_null_groups(spark, monkeypatch):
+    monkeypatch.setattr(ag, "LARGE_GROUP", 50)
+    data = [(None if i % 5 == 0 else "a" if i % 5 < 4 else f"s{i % 3}", float(i * 7919 % 1009)) for i in range(400)] + [("none", None)]
+    df = spark.createDataFrame(data, "g string, v double")
+    want = df.where("v IS NOT NULL").groupBy("g").agg(F.percentile("v", F.lit(0.25)), F.percentile("v", F.lit(0.5)))
+    got = ag.group_quantiles(df, ["g"], "v", {"q": 0.25, "m": 0.5})
+    assert [(r[0], pytest.approx(r[1:])) for r in rows(got)] == [(r[0], r[1:]) for r in rows(want)]
+
+
 def test_rank_sorts_a_stratum_in_slices(spark, small_skew_settings):
     df = spark.range(20_000).select((F.col("id") < 0).cast("int").alias("s"), F.col("id"), (F.xxhash64("id") % 997).alias("h"))
     df = df.withColumn("u", F.abs("h") / 997)
