@@ -32,12 +32,14 @@ from kohortflow.llm.common import WORD, small_batches
 from kohortflow.session import cut_lineage
 
 END = ""  # no word is empty
-RARE = 10_000  # a word with a larger share than one in this is broadcast
-SHORT = 64  # bytes of a word that may be broadcast; so RARE words stay below a few MB
+RARE = 300_000  # a word with a larger share than one in this is broadcast
+SHORT = 64  # bytes of a word that may be broadcast; so RARE words stay below some 50 MB, and a few MB in natural text
 ROUNDS = 2  # of expected counts
 SMOOTHING = 0.01  # added to every piece's expected count
 SPACE_MARK = "▁"
 TINY = -math.inf
+LEAST = 1e-200  # of a word in plain probabilities: what a double loses below 1e-308 is nothing beside it
+LONG = 200  # characters, beyond which a word is not tried
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -124,8 +126,64 @@ def expected(word: str, weight: float, pieces: dict[str, float], longest: int, c
             back[start] = b if a == TINY else (a if a > b else b) + math.log1p(math.exp(-abs(a - b)))
 
 
-def lowered(text: Column) -> Column:
-    return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
+def swept(word: str, probabilities: dict[str, float], starts: set[str]) -> tuple[list[float], list[tuple[int, int, float, tuple[str, ...]]]]:
+    """Sums of all paths to each place, and the arcs by start, in plain probabilities, which takes no logarithm an arc."""
+    text = SPACE_MARK + word
+    n = len(text)
+    ahead = [1.0] + [0.0] * n
+    found = []
+    for start in range(n):
+        reached = ahead[start]
+        letter = text[start]
+        if letter not in probabilities:
+            spelled = tuple([f"<0x{b:02X}>" for b in letter.encode("utf-8", "surrogatepass")])
+            value = math.prod([probabilities[b] for b in spelled])
+            ahead[start + 1] += reached * value
+            found.append((start, start + 1, value, spelled))
+        for end in range(start + 1, n + 1):
+            piece = text[start:end]
+            value = probabilities.get(piece)
+            if value is not None:
+                ahead[end] += reached * value
+                found.append((start, end, value, (piece,)))
+            elif piece not in starts:
+                break
+    return ahead, found
+
+
+class Lattices:
+    """Word probabilities and expected counts; words too improbable for plain numbers are taken in log space."""
+
+    def __init__(self, pieces: dict[str, float]) -> None:
+        self.pieces, self.starts, self.longest = pieces, beginnings(pieces), max(map(len, pieces))
+        self.probabilities = {p: math.exp(v) for p, v in pieces.items()}
+
+    def log_probability(self, word: str) -> float:
+        if len(word) <= LONG:
+            whole = swept(word, self.probabilities, self.starts)[0][-1]
+            if whole > LEAST:
+                return math.log(whole)
+        return forward(arcs(word, self.pieces, self.longest, self.starts))[-1]
+
+    def count(self, word: str, weight: float, counts: dict[str, float]) -> None:
+        """As :func:`expected`."""
+        ahead, found = swept(word, self.probabilities, self.starts) if len(word) <= LONG else ([0.0], [])
+        if ahead[-1] <= LEAST:
+            expected(word, weight, self.pieces, self.longest, counts, self.starts)
+            return
+        back = [0.0] * len(ahead)
+        back[-1] = weight / ahead[-1]
+        for start, end, value, spelled in reversed(found):
+            through = value * back[end]
+            back[start] += through
+            for piece in spelled:
+                counts[piece] = counts.get(piece, 0.0) + ahead[start] * through
+
+
+def lowered(word: Column) -> Column:
+    """A-Z in lower case. ``lower`` does the same for a word of ASCII only, at a fraction of the time."""
+    ascii_only = F.octet_length(word) == F.char_length(word)
+    return F.when(ascii_only, F.lower(word)).otherwise(F.translate(word, UPPER, LOWER))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -133,27 +191,28 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 7 == 2, F.lit(False))
 
 
-def _tokens(text: Column) -> Column:
-    return F.concat(F.regexp_extract_all(lowered(text), F.lit(WORD), F.lit(0)), F.array(F.lit(END)))
+def tokens(docs: DataFrame, *keep: Column) -> DataFrame:
+    """(keep..., word): one row per token."""
+    found = F.concat(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(WORD), F.lit(0)), F.array(F.lit(END)))
+    return docs.select(*keep, F.explode(found).alias("word")).withColumn("word", lowered(F.col("word")))
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
     """(word, c, m): every token of the corpus with its count in the training documents and in all."""
-    tokens = docs.select(F.when(held_out(F.col("doc_id")), 0).otherwise(1).alias("used"), F.explode(_tokens(F.col("text"))).alias("word"))
-    return tokens.groupBy("word").agg(F.sum("used").cast("long").alias("c"), F.count("*").alias("m"))
+    used = F.when(held_out(F.col("doc_id")), 0).otherwise(1).alias("used")
+    return tokens(docs, used).groupBy("word").agg(F.sum("used").cast("long").alias("c"), F.count("*").alias("m"))
 
 
 def piece_counts(counts: DataFrame, pieces: dict[str, float]) -> dict[str, float]:
     """Expected number of each piece in the training tokens; one row per piece reaches the driver."""
-    longest = max(map(len, pieces))
-    shared = counts.sparkSession.sparkContext.broadcast((pieces, beginnings(pieces)))
+    shared = counts.sparkSession.sparkContext.broadcast(pieces)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         found: dict[str, float] = {}
-        known, starts = shared.value
+        lattices = Lattices(shared.value)
         for batch in batches:
             for word, c in zip(batch["word"], batch["c"], strict=True):
-                expected(word, float(c), known, longest, found, starts)
+                lattices.count(word, float(c), found)
         yield pd.DataFrame({"piece": pd.Series(list(found), dtype=object), "n": pd.Series(list(found.values()), dtype="float64")})
 
     rows = counts.where((F.col("c") > 0) & (F.col("word") != END)).select("word", "c").mapInPandas(count, "piece string, n double")
@@ -174,13 +233,12 @@ def fitted(counts: DataFrame, pieces: dict[str, float], rounds: int = ROUNDS) ->
 
 def scored_words(counts: DataFrame, pieces: dict[str, float], end: float) -> DataFrame:
     """``counts`` with ``model``: the log10 probability of each token, all segmentations summed."""
-    longest = max(map(len, pieces))
-    shared = counts.sparkSession.sparkContext.broadcast((pieces, beginnings(pieces)))
+    shared = counts.sparkSession.sparkContext.broadcast(pieces)
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, starts = shared.value
+        lattices = Lattices(shared.value)
         for batch in batches:
-            values = [(end if w == END else forward(arcs(w, known, longest, starts))[-1]) / math.log(10) for w in batch["word"]]
+            values = [(end if w == END else lattices.log_probability(w)) / math.log(10) for w in batch["word"]]
             yield batch.assign(model=pd.Series(values, index=batch.index, dtype="float64"))
 
     return counts.mapInPandas(score, "word string, c long, m long, model double")
@@ -200,12 +258,12 @@ def scores(docs: DataFrame, vocabulary_path: str, rounds: int = ROUNDS) -> DataF
     frequent = F.broadcast(table.where(hot).drop("m"))
     rare = table.where(~hot).drop("m")
     key = ["doc_id", "digest"]
-    tokens = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("digest"), F.explode(_tokens(F.col("text"))).alias("word"))
+    found = tokens(docs, F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("digest"))
 
     def summed(joined: DataFrame) -> DataFrame:
         return joined.select(*key, (F.col("word") == END).cast("long").alias("copies"), "known", "base", "model")
 
-    parts = summed(tokens.join(frequent, "word")).union(summed(tokens.join(frequent.select("word"), "word", "left_anti").join(rare, "word")))
+    parts = summed(found.join(frequent, "word")).union(summed(found.join(frequent.select("word"), "word", "left_anti").join(rare, "word")))
     per_key = parts.groupBy(*key).agg(F.count("*").alias("n"), *[F.sum(c).alias(c) for c in ("copies", "known", "base", "model")])
     copies = F.col("copies")
     return per_key.select(

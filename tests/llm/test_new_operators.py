@@ -11,6 +11,8 @@ from fractions import Fraction
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from kohortflow.llm import lattice, near_dups, runs, whitening
 from kohortflow.llm.queries import vocabulary_path
 
@@ -175,6 +177,23 @@ def test_scores_of_documents(spark, monkeypatch):
     assert lattice.scores(empty, vocabulary_path()).count() == 0
 
 
+def test_plain_and_log_lattices_agree():
+    lattices = lattice.Lattices(lattice.vocabulary(vocabulary_path()))
+    pieces, longest = lattices.pieces, lattices.longest
+    for word in ["the", "x", "Élan", "\u4e2d\U0001f600", "internationalisation", "\U0001f600" * 40, "q" * 190, "q" * 201, "ab" * 2500]:
+        assert lattices.log_probability(word) == pytest.approx(lattice.forward(lattice.arcs(word, pieces, longest))[-1], rel=1e-12)
+        got, want = {}, {}
+        lattices.count(word, 3.0, got)
+        lattice.expected(word, 3.0, pieces, longest, want)
+        assert got.keys() == want.keys() and all(got[p] == pytest.approx(want[p], rel=1e-9, abs=1e-12) for p in want)
+
+
+def test_only_ascii_capitals_are_lowered(spark):
+    words = ["The", "ÉLAN", "İX", "ΑΣ", "a\x00B", "", "ABC9z"]
+    df = spark.createDataFrame([(w,) for w in words], "w string").select("w", lattice.lowered(F.col("w")).alias("low"))
+    assert [r.low for r in df.collect()] == [lower(w) for w in words]
+
+
 def test_rounds_raise_the_held_out_score(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     score = [lattice.scores(docs, vocabulary_path(), k).where("held_out").selectExpr("sum(score)").first()[0] for k in (0, 2)]
