@@ -12,8 +12,10 @@ further left. Documents arrive in batches, in the order of their ids.
   repeated as a whole. Blocks never seen before become a new level; while the two newest levels are of equal
   rank they are merged into one of the next, so n batches keep about log n levels.
 - At the end, suffixes that begin alike but have different blocks, as at the edges of a copied passage, are compared
-  window by window on their bytes: in one task for up to 512 blocks that begin alike, and beyond by a shuffle of
-  the windows themselves, which any number of tasks can share.
+  window by window on their bytes, in one task for up to 512 blocks that begin alike. The windows of more blocks are
+  parted by the place of the anchor in them, at first by 20 places. All windows of a part share at least 81 bytes, so
+  parts with different ones part for good, parts that are equal as a whole are repeated as a whole and go on as one, and
+  what is left is compared, or parted again by 5 places and at last by single ones, where equal bytes are all there is.
 
 Blocks are first combined in the map tasks, and joins on a very common block or suffix are ones that AQE splits. The
 driver sees no entries. Superseded tables are deleted.
@@ -44,6 +46,7 @@ GRAM = 24
 CHUNK = 1 << 18  # bytes looked at together; positions within fit the low 20 bits
 LOW = np.uint64((1 << 20) - 1)
 TOGETHER = 512  # different blocks that one task compares
+PARTS = (80, 20, 5, 1)  # places of the anchor in the windows that stay together, round by round; a window has 77
 BATCHES = 4
 
 ENTRY = pa.schema([("h", pa.int64()), ("bh", pa.int64()), ("doc", pa.int64()), ("version", pa.int64()), ("lo", pa.int64()), ("back", pa.int16()), ("run", pa.int16())])
@@ -125,9 +128,8 @@ def _described(parts: list[tuple[int, int, bytes]], doc: np.ndarray, version: np
 
 
 SPANS = pa.schema([("doc", pa.int64()), ("version", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64())])
-BLOCKS = pa.schema([("h", pa.int64()), ("doc", pa.int64()), ("version", pa.int64()), ("lo", pa.int64()), ("n", pa.int64()), ("block", pa.binary())])
-BLOCK_SQL = "h long, doc long, version long, lo long, n long, block binary"
-WINDOWS = pa.schema([("w1", pa.int64()), ("w2", pa.int64()), ("doc", pa.int64()), ("version", pa.int64()), ("lo", pa.int64())])
+BLOCKS = pa.schema([("h", pa.int64()), ("doc", pa.int64()), ("version", pa.int64()), ("lo", pa.int64()), ("back", pa.int16()), ("n", pa.int64()), ("block", pa.binary())])
+BLOCK_SQL = "h long, doc long, version long, lo long, back smallint, n long, block binary"
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,7 +139,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for doc, version, text, wanted in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
             data = text.encode()
             for w in wanted:
-                for column, value in zip(rows, (w["h"], doc, version, w["lo"], w["n"], data[w["lo"] : w["lo"] + w["run"] + LENGTH]), strict=True):
+                for column, value in zip(rows, (w["h"], doc, version, w["lo"], w["back"], w["n"], data[w["lo"] : w["lo"] + w["run"] + LENGTH]), strict=True):
                     column.append(value)
         yield _batch(BLOCKS, rows)
 
@@ -196,13 +198,25 @@ def _repeated(rows: pa.Table) -> pa.RecordBatch:
     return _batch(SPANS, columns)
 
 
-def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for first in range(0, batch.num_rows, 2000):
-            part = batch.slice(first, 2000)
-            h, doc, version, lo = (part.column(i).to_numpy() for i in range(4))
-            which, place, key = _windows(h, part.column(4).to_pylist())
-            yield _batch(WINDOWS, [h[which], key.view(np.int64), doc[which], version[which], lo[which] + place])
+def _parts(blocks: DataFrame, width: int, step: int) -> DataFrame:
+    """Blocks cut into one row for each ``step`` places of the anchor in their windows; ``low`` is the first of ``width``.
+
+    Equal windows are in rows of equal ``part``, a key of the bytes that all windows of that part share.
+    """
+    low = F.explode(F.sequence("low", F.col("low") + width - step, F.lit(step))).alias("low")
+    cut = blocks.select(F.col("h").alias("of"), "doc", "version", "lo", "back", "block", low)
+    cut = cut.withColumn("head", F.greatest(F.lit(0), F.col("back") - F.col("low") - step + 1))
+    cut = cut.withColumn("tail", F.least(F.octet_length("block") - LENGTH, F.col("back") - F.col("low"))).where("head <= tail")
+    shared = F.substring("block", F.col("back") - F.col("low") + 1, F.lit(LENGTH - step + 1))
+    return cut.select(
+        F.xxhash64("of", "low", shared).alias("h"),
+        "doc",
+        "version",
+        (F.col("lo") + F.col("head")).alias("lo"),
+        (F.col("back") - F.col("head")).alias("back"),
+        F.substring("block", F.col("head") + 1, F.col("tail") - F.col("head") + LENGTH).alias("block"),
+        "low",
+    )
 
 
 def _rest(text: bytes, spans: list[tuple[int, int]], characters: bool) -> tuple[bytes, int, int]:
@@ -330,7 +344,7 @@ def spans(rows: DataFrame, batches: int = BATCHES, repeated: bool = False) -> Da
         found.append(family.add(part.select("doc", "version", "text")))
     entries = family.entries()
     alike = entries.groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
-    wanted = entries.join(alike, "h").select("doc", "version", F.struct("h", "lo", "run", "n").alias("want"))
+    wanted = entries.join(alike, "h").select("doc", "version", F.struct("h", "lo", "back", "run", "n").alias("want"))
     wanted = wanted.groupBy("doc", "version").agg(F.collect_list("want").alias("wanted"))  # at most what one text has
     wanted = family.stored(wanted, "wanted")
     family.close()
@@ -339,12 +353,28 @@ def spans(rows: DataFrame, batches: int = BATCHES, repeated: bool = False) -> Da
     stored = family.stored(texts.mapInArrow(_blocks, BLOCK_SQL), "blocks")
     released(spark)
     blocks = spark.read.parquet(stored)
-    few = blocks.where(F.col("n") <= TOGETHER).drop("n").repartition("h").sortWithinPartitions("h", "doc", "version", "lo")
-    found.append(family.stored(few.mapInArrow(_groups, "doc long, version long, lo long, hi long"), "spans"))
-    many = blocks.where(F.col("n") > TOGETHER).drop("n").mapInArrow(_window_rows, "w1 long, w2 long, doc long, version long, lo long")
-    first = many.groupBy("w1", "w2").agg(F.min(F.struct("doc", "version", "lo")).alias("first"), F.count("*").alias("n")).where("n > 1")
-    again = many.join(first, ["w1", "w2"]).where("doc <> first.doc OR version <> first.version OR lo <> first.lo")
-    found.append(family.stored(again.select("doc", "version", "lo", F.col("lo").alias("hi")), "spans"))
+    for width, step in zip(PARTS, [*PARTS[1:], None], strict=True):
+        few = blocks.where(F.col("n") <= TOGETHER).select("h", "doc", "version", "lo", "block").repartition("h").sortWithinPartitions("h", "doc", "version", "lo")
+        found.append(family.stored(few.mapInArrow(_groups, "doc long, version long, lo long, hi long"), "spans"))
+        many = blocks.where(F.col("n") > TOGETHER)
+        if step is None or many.isEmpty():  # a part of one place has one block
+            break
+        many = many if "low" in many.columns else many.withColumn("low", F.lit(0))
+        parts = family.stored(_parts(many, width, step), "parts")
+        family.delete(stored)
+        rows_of = spark.read.parquet(parts).withColumn("whole", F.xxhash64("block", "back"))
+        first = rows_of.groupBy("h", "whole").agg(F.min(F.struct("doc", "version", "lo", "back", "block", "low")).alias("first"), F.count("*").alias("copies"))
+        firsts = family.stored(first.select("h", "whole", "first.*", "copies"), "firsts")
+        distinct = spark.read.parquet(firsts)
+        heads = distinct.where("copies > 1").select("h", "whole", F.col("doc").alias("doc0"), F.col("version").alias("version0"), F.col("lo").alias("lo0"))
+        again = rows_of.join(heads, ["h", "whole"]).where("doc <> doc0 OR version <> version0 OR lo <> lo0")
+        found.append(family.stored(again.select("doc", "version", "lo", (F.col("lo") + F.octet_length("block") - LENGTH).alias("hi")), "spans"))
+        alike = distinct.groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
+        stored = family.stored(distinct.drop("whole", "copies").join(alike, "h"), "blocks")
+        family.delete(parts)
+        family.delete(firsts)
+        released(spark)
+        blocks = spark.read.parquet(stored)
     family.delete(stored)
     family.delete(wanted)
     if repeated:

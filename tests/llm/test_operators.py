@@ -127,6 +127,28 @@ def test_substrings_of_many_blocks(spark, monkeypatch):
     assert got == removed(rows)
 
 
+@pytest.mark.parametrize("together", [1, 3, 9])
+def test_substrings_part_blocks_that_begin_alike(spark, monkeypatch, together):
+    """Large groups make few rows for a block instead of one for every window, in all rounds and with copies of all lengths."""
+    monkeypatch.setattr(substrings, "TOGETHER", together)
+    seen = []
+    parts = substrings._parts
+
+    def counted(blocks, width, step):
+        seen.append((width, step, blocks.count(), parts(blocks, width, step).count()))
+        return parts(blocks, width, step)
+
+    monkeypatch.setattr(substrings, "_parts", counted)
+    rng = random.Random(9)
+    line = prose(rng, 60)
+    cut = [(rng.randrange(60), 100 + rng.randrange(60)) for _ in range(60)]
+    rows = [(i, prose(rng, 5) + line[a : a + n] + rng.choice(["x", "é", "yz"]) + prose(rng, 5)) for i, (a, n) in enumerate(cut)]
+    rows += [(i, prose(rng, 4) + line[50:140] + "é" * rng.randrange(30)) for i in range(60, 90)] + [(90, None), (91, line * 2)]
+    got = {r.doc_id: tuple(r)[1:] for r in substrings.removals(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == removed(rows)
+    assert seen and all(made <= -(-width // step) * n for width, step, n, made in seen)
+
+
 def test_substrings_odd_rows(spark, odd):
     rows = substrings.removals(odd).collect()
     long = len("one two three four five six seven eight nine ten " * 5)
