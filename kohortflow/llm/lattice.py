@@ -10,9 +10,9 @@ counts over the training words (forward and backward over each word's lattice) m
 
 The words are counted once over the whole corpus, with sums in the map tasks, and a lattice is evaluated once per
 distinct word. Scores go back to documents by a join on the word. Words of more than one in ``RARE`` of all tokens are at most ``RARE`` words, so
-they are joined by a broadcast of bounded size and a hot word never is one task; all others meet in a shuffle,
-where no word can have more than that share. Nothing but the piece counts (bounded by the vocabulary) and two
-numbers reaches the driver.
+they are a broadcast of bounded size, which each task adds up for whole documents, and a hot word never is one task; all others
+meet in a shuffle, where no word can have more than that share. Nothing but these words, the piece counts (bounded by the
+vocabulary) and three numbers reaches the driver.
 
 Defined results: a null text is empty, its score that of the end alone. Rows equal in id and text get one row
 each. A null id has the remainder 0 and so is in training. Without training tokens all probabilities are those of the smoothing. Other columns
@@ -22,13 +22,18 @@ are not read. An empty table gives an empty result.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kohortflow.llm.common import WORD, small_batches
+from kohortflow.llm.common import small_batches
+from kohortflow.llm.near_dups import LOWER as LOWERED
 from kohortflow.session import cut_lineage
 
 END = ""  # no word is empty
@@ -40,6 +45,8 @@ SPACE_MARK = "▁"
 TINY = -math.inf
 LEAST = 1e-200  # of a word in plain probabilities: what a double loses below 1e-308 is nothing beside it
 LONG = 200  # characters, beyond which a word is not tried
+HELD = 1 << 18  # distinct words that a task counts before it passes them on
+TOGETHER = 1 << 20  # bytes of texts whose words are in memory at once, or one text
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -191,16 +198,78 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 7 == 2, F.lit(False))
 
 
-def tokens(docs: DataFrame, *keep: Column) -> DataFrame:
-    """(keep..., word): one row per token."""
-    found = F.concat(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(WORD), F.lit(0)), F.array(F.lit(END)))
-    return docs.select(*keep, F.explode(found).alias("word")).withColumn("word", lowered(F.col("word")))
+def words(text: bytes) -> list[bytes]:
+    """The lower-cased tokens of a text in UTF-8; ``split`` parts bytes at the six characters that no word has."""
+    found = text.translate(LOWERED).split()
+    found.append(END.encode())
+    return found
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts (word, c, m) of the texts (text, used), some hundred thousand words together."""
+    used, other = Counter(), Counter()
+
+    def rows() -> pa.RecordBatch:
+        every = list(used | other)
+        c = [used[w] for w in every]
+        m = [n + other[w] for n, w in zip(c, every, strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(every, pa.binary()), pa.array(c, pa.int64()), pa.array(m, pa.int64())], names=["word", "c", "m"])
+
+    for batch in batches:
+        for text, learned in zip(*(batch.column(i).to_pylist() for i in (0, 1)), strict=True):
+            (used if learned else other).update(words(text))
+            if len(used) + len(other) > HELD:
+                yield rows()
+                used.clear()
+                other.clear()
+    yield rows()
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
     """(word, c, m): every token of the corpus with its count in the training documents and in all."""
-    used = F.when(held_out(F.col("doc_id")), 0).otherwise(1).alias("used")
-    return tokens(docs, used).groupBy("word").agg(F.sum("used").cast("long").alias("c"), F.count("*").alias("m"))
+    texts = docs.select(F.coalesce("text", F.lit("")).cast("binary").alias("text"), (~held_out(F.col("doc_id"))).alias("used"))
+    parts = texts.mapInArrow(_counted, "word binary, c long, m long").select(F.col("word").cast("string").alias("word"), "c", "m")
+    return parts.groupBy("word").agg(F.sum("c").alias("c"), F.sum("m").alias("m"))
+
+
+def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of (doc_id, digest, text), so many at a time as have ``TOGETHER`` bytes."""
+    for batch in batches:
+        sizes = np.fromiter(map(len, batch.column(2).to_pylist()), np.int64, batch.num_rows)
+        ends = np.flatnonzero(np.diff(np.cumsum(sizes) // TOGETHER)) + 1
+        for first, last in zip([0, *ends], [*ends, batch.num_rows], strict=True):
+            if first < last:
+                yield batch.slice(first, last - first)
+
+
+class Scored:
+    """Documents (doc_id, digest, text) against the frequent words, which are a table (word, known, base, model)."""
+
+    def __init__(self, frequent: pa.Table) -> None:
+        self.place = dict(zip(frequent.column("word").cast(pa.binary()).to_pylist(), range(frequent.num_rows), strict=True))
+        # the last row is that of any other word
+        self.values = [np.append(frequent.column(c).to_numpy(), 0) for c in ("known", "base", "model")]
+
+    def located(self, batch: pa.RecordBatch) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """The tokens of all rows, the place of each among the frequent words, and how many a row has."""
+        found = [words(t) for t in batch.column(2).to_pylist()]
+        every = [w for row in found for w in row]
+        place = np.fromiter(map(self.place.get, every, repeat(len(self.place))), np.int64, len(every))
+        return every, place, np.fromiter(map(len, found), np.int64, len(found))
+
+    def sums(self, batch: pa.RecordBatch) -> pa.RecordBatch:
+        """One row for each: how many tokens it has, and the sums over those that are frequent."""
+        _, place, n = self.located(batch)
+        starts = np.cumsum(n) - n
+        summed = [np.add.reduceat(v[place], starts) for v in self.values]
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n), *map(pa.array, summed)], names=["doc_id", "digest", "n", "known", "base", "model"])
+
+    def others(self, batch: pa.RecordBatch) -> pa.RecordBatch:
+        """One row for each token that is not frequent."""
+        every, place, n = self.located(batch)
+        at = np.flatnonzero(place == len(self.place))
+        row = pa.array(np.repeat(np.arange(len(n)), n)[at])
+        return pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(1).take(row), pa.array([every[i] for i in at], pa.binary())], names=["doc_id", "digest", "word"])
 
 
 def piece_counts(counts: DataFrame, pieces: dict[str, float]) -> dict[str, float]:
@@ -255,16 +324,25 @@ def scores(docs: DataFrame, vocabulary_path: str, rounds: int = ROUNDS) -> DataF
     base = F.log10((F.col("c") + 1.0) / F.lit(float(total + distinct + 1)))
     table = cut_lineage(scored_words(counts, pieces, end).select("word", (F.col("c") > 0).cast("long").alias("known"), base.alias("base"), "model", "m"))
     hot = (F.col("m") * RARE > F.lit(row.all or 0)) & (F.octet_length("word") <= SHORT)
-    frequent = F.broadcast(table.where(hot).drop("m"))
     rare = table.where(~hot).drop("m")
-    key = ["doc_id", "digest"]
-    found = tokens(docs, F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("digest"))
+    frequent = spark.sparkContext.broadcast(table.where(hot).drop("m").toArrow())
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("digest"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scored = Scored(frequent.value)
+        yield from (scored.sums(part) for part in _bounded(batches))
 
-    def summed(joined: DataFrame) -> DataFrame:
-        return joined.select(*key, (F.col("word") == END).cast("long").alias("copies"), "known", "base", "model")
+    def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scored = Scored(frequent.value)
+        yield from (scored.others(part) for part in _bounded(batches))
 
-    parts = summed(found.join(frequent, "word")).union(summed(found.join(frequent.select("word"), "word", "left_anti").join(rare, "word")))
-    per_key = parts.groupBy(*key).agg(F.count("*").alias("n"), *[F.sum(c).alias(c) for c in ("copies", "known", "base", "model")])
+    key = ["doc_id", "digest"]
+    whole = texts.mapInArrow(summed, "doc_id long, digest long, n long, known long, base double, model double")
+    whole = whole.select(*key, F.lit(1).cast("long").alias("copies"), "n", "known", "base", "model")
+    found = texts.mapInArrow(others, "doc_id long, digest long, word binary").withColumn("word", F.col("word").cast("string"))
+    zero = F.lit(0).cast("long")
+    parts = whole.union(found.join(rare, "word").select(*key, zero, zero, "known", "base", "model"))
+    per_key = parts.groupBy(*key).agg(*[F.sum(c).alias(c) for c in ("copies", "n", "known", "base", "model")])
     copies = F.col("copies")
     return per_key.select(
         "doc_id",

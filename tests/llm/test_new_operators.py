@@ -9,6 +9,7 @@ from collections import Counter
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from pyspark.sql import functions as F
@@ -194,6 +195,36 @@ def test_only_ascii_capitals_are_lowered(spark):
     assert [r.low for r in df.collect()] == [lower(w) for w in words]
 
 
+def test_words_are_counted_and_added_up_in_bounded_parts(spark, monkeypatch):
+    monkeypatch.setattr(lattice, "HELD", 3)
+    monkeypatch.setattr(lattice, "TOGETHER", 20)
+    texts = [b"A b\x0bc\xc2\xa0d a", b"", b"x" * 50, "\u00c9 B".encode(), b" a\ta ", b"rare"]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.binary()), pa.array([True, False] * 3)], names=["text", "used"])
+    c, m = Counter(), Counter()
+    for part in lattice._counted(iter([batch, batch])):
+        for row in part.to_pylist():
+            c[row["word"]] += row["c"]
+            m[row["word"]] += row["m"]
+    want = [(t.lower().split() + [b""], u) for t, u in zip(texts, [True, False] * 3)] * 2
+    assert m == Counter(w for ws, _ in want for w in ws) and c == Counter(w for ws, u in want if u for w in ws)
+    ids = pa.array(range(6), pa.int64())
+    rows = pa.RecordBatch.from_arrays([ids, ids, pa.array(texts, pa.binary())], names=["doc_id", "digest", "text"])
+    parts = list(lattice._bounded(iter([rows, rows.slice(0, 0)])))
+    assert pa.Table.from_batches(parts) == pa.Table.from_batches([rows]) and len(parts) > 1
+    frequent = pa.table({"word": ["a", "", "b"], "known": [1, 1, 0], "base": [0.5, 2.0, 0.25], "model": [1.0, 3.0, 7.0]})
+    scored = lattice.Scored(frequent)
+    got = [tuple(r.values())[2:] for p in parts for r in scored.sums(p).to_pylist()]
+    assert got == [(5, 3, 3.25, 12.0), (1, 1, 2.0, 3.0), (2, 1, 2.0, 3.0), (3, 1, 2.25, 10.0), (3, 3, 3.0, 5.0), (2, 1, 2.0, 3.0)]
+    assert [(r["doc_id"], r["word"]) for p in parts for r in scored.others(p).to_pylist()] == [(0, b"c\xc2\xa0d"), (2, b"x" * 50), (3, "\u00c9".encode()), (5, b"rare")]
+
+
+def test_frequent_words_make_no_rows(spark, monkeypatch):
+    """Only the words that are not frequent are rows of a join; the text is not taken apart in a row for each token."""
+    docs = spark.createDataFrame([(i, "the " * 50) for i in range(5)], "doc_id long, text string")
+    plan = lattice.scores(docs, vocabulary_path(), 1)._jdf.queryExecution().executedPlan().toString()
+    assert "regexp_extract_all" not in plan and "MapInArrow" in plan
+
+
 def test_rounds_raise_the_held_out_score(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     score = [lattice.scores(docs, vocabulary_path(), k).where("held_out").selectExpr("sum(score)").first()[0] for k in (0, 2)]
