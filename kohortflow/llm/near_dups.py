@@ -42,7 +42,7 @@ SHINGLE = 5
 TREES = 16
 COORDINATES = 128
 SMALL = 256  # documents of a node, or of a slice of one, that are compared in one task
-STEPS = 6  # tokens that a large node takes at most in one round
+STEPS = 6  # tokens that a large node takes at most before its children are compared
 NEEDED = 75  # percent
 DEVIATIONS = 5  # by which a sketch may fall short of the expected agreement
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -170,19 +170,11 @@ def _roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _next(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Nodes some steps below each (node, id, tokens, steps); all steps of a row are taken at once."""
+    """Child nodes of each (node, id, tokens)."""
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        nodes, ids, steps = (batch.column(i).to_numpy() for i in (0, 1, 3))
-        tokens, at = _embedding(batch.column(2)), np.arange(len(ids))
-        while len(at):
-            made = _children(at, nodes.view(np.uint64), tokens[at], False)
-            nodes, at = made.column(0).to_numpy(), made.column(1).to_numpy()
-            steps = steps - 1
-            ends = steps[at] <= 0
-            yield _batch(NODES, [nodes[ends], ids[at[ends]]])
-            nodes, at = nodes[~ends], at[~ends]
+        if batch.num_rows:
+            nodes, ids = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            yield _children(ids, nodes.view(np.uint64), _embedding(batch.column(2)), False)
 
 
 def _likely(na: np.ndarray, nb: np.ndarray, sa: np.ndarray, sb: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -433,6 +425,22 @@ class _Join:
         before = found if self.components is None else found.union(self.components.select("id", "component"))
         self.components = connected(before)
 
+    def branched(self, large: DataFrame) -> DataFrame:
+        """(node, id) below large nodes, branched until they are not large or took ``STEPS`` tokens.
+
+        Documents that are alone in a node leave at every token, so what has nothing but the first token in common makes few rows.
+        """
+        tokens, ended = self.reps.select("id", "tokens"), []
+        for _ in range(STEPS):
+            made = self.stored(large.join(tokens, "id").select("node", "id", "tokens").mapInArrow(_next, "node long, id long"))
+            counted = made.groupBy("node").agg(F.count("*").alias("n")).where("n > 1")
+            kept = self.stored(made.join(counted, "node"))
+            ended.append(kept.where(F.col("n") <= SMALL).select("node", "id"))
+            large = kept.where(F.col("n") > SMALL).select("node", "id")
+            if large.isEmpty():
+                break
+        return reduce(DataFrame.union, [*ended, large])
+
     def run(self) -> None:
         rep_tokens = self.reps.select("id", "tokens")
         level = self.stored(rep_tokens.mapInArrow(_roots, "node long, id long"))
@@ -474,10 +482,7 @@ class _Join:
             many = heads.where(F.col("apart") > SMALL).select("node")
             if many.isEmpty():
                 break
-            # a node of many times the limit takes several tokens at once, which saves rounds of shuffles
-            steps = F.least(F.ceil(2 * F.log2(F.col("n") / SMALL)), F.lit(STEPS)).cast("int").alias("steps")
-            level = rows.join(many, "node").select("node", "id", steps).join(rep_tokens, "id").select("node", "id", "tokens", "steps")
-            level = self.stored(level.mapInArrow(_next, "node long, id long"))
+            level = self.stored(self.branched(rows.join(many, "node").select("node", "id")))
             self.drop_steps(-1)  # all but the next level
         self.drop_steps()
 

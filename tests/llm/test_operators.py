@@ -92,6 +92,27 @@ def test_near_duplicates_of_large_nodes(spark, monkeypatch):
     assert got == near_components(rows)
 
 
+def test_documents_alone_in_a_node_leave_at_every_token(spark, monkeypatch):
+    """A common line makes large nodes; the children of a document that shares nothing else do not multiply by every token."""
+    monkeypatch.setattr(near_dups, "SMALL", 4)
+    rng = random.Random(6)
+    line = prose(rng, 30)
+    copies = prose(rng, 100)
+    rows = [(i, f"{line} {prose(rng, 60)}") for i in range(150)] + [(500 + i, f"{copies} end{i}") for i in range(3)]
+    made = []
+    branched = near_dups._Join.branched
+
+    def counted(self, large):
+        n, out = large.count(), branched(self, large)
+        made.append((n, out.count(), out.groupBy("node").count().where("count = 1").count()))
+        return out
+
+    monkeypatch.setattr(near_dups._Join, "branched", counted)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dups.components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == near_components(rows)
+    assert made and all(alone == 0 and out < 1.5 * n for n, out, alone in made)
+
+
 @pytest.mark.parametrize("size", [2, 9, 40])
 def test_forest_spans_all_links(size):
     """The tree of a group connects what all pairs of its sets connect, and holds true links only."""
