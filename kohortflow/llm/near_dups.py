@@ -11,9 +11,11 @@ A pair at 0.75 is missed at depth 1, where most nodes end, with less than 1 in 1
   hash. A cell is compared exhaustively on 8-bit sketches, and a document passes on only its best partner and its best
   partner of a smaller id, so the pairs grow with the documents and not with the square of a group. The best of all cells are
   confirmed on the full shingle sets and connected.
-- Likely pairs that are still in different components are then confirmed in groups: what they connect within a cell is one
-  group, known by a signature, so that a group met in many trees is confirmed once. Every text goes to a group once,
-  all intersections are a product of matrices there, and a spanning tree of the links comes out.
+- Likely pairs that are still in different components are then judged in their cell on samples of their shingles, which
+  are the whole set up to 512 shingles, so documents that are alike but below 0.75 do not go on. The rest is confirmed in
+  groups: what pairs connect within a cell is one group, known by a signature, so that a group met in many trees is
+  confirmed once. Every text goes to a group once, all intersections are a product of matrices there, and a spanning tree of
+  the links comes out.
 - Large nodes: rows outside the node's most common component, if at most 256, join every slice. With more the node
   branches again, as deep as it takes; so no size of a node drops a pair. Tables of a finished level are deleted.
 
@@ -44,7 +46,8 @@ COORDINATES = 128
 SMALL = 256  # documents of a node, or of a slice of one, that are compared in one task
 STEPS = 6  # tokens that a large node takes at most before its children are compared
 NEEDED = 75  # percent
-DEVIATIONS = 5  # by which a sketch may fall short of the expected agreement
+DEVIATIONS = 5  # by which a sketch or sample may fall short of the expected agreement
+SAMPLE = 512  # shingles that a sample holds about at most; smaller sets are whole
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -185,6 +188,84 @@ def _likely(na: np.ndarray, nb: np.ndarray, sa: np.ndarray, sb: np.ndarray) -> t
     return (100 * np.minimum(na, nb) >= NEEDED * np.maximum(na, nb)) & (agree >= least), agree
 
 
+def _halvings(n: np.ndarray) -> np.ndarray:
+    """How often the hash range is halved for the sample of n shingles."""
+    return np.ceil(np.log2(np.maximum(n, SAMPLE) / SAMPLE)).astype(np.int64)
+
+
+def sample(tokens: np.ndarray) -> np.ndarray:
+    """Low 16 bits of the sorted ``tokens`` in the lowest part of the hash range, after the number of those in its lower half."""
+    shift = 64 - int(_halvings(len(tokens)))
+    in_part, in_half = (int(np.searchsorted(tokens, np.uint64(1 << s))) if s < 64 else len(tokens) for s in (shift, shift - 1))
+    return np.r_[np.uint16(in_half), tokens[:in_part].astype(np.uint16)]
+
+
+SAMPLED = pa.schema([("id", pa.int64()), ("n_shingles", pa.int64()), ("sketch", pa.binary()), ("sample", pa.binary())])
+SAMPLED_SQL = "id long, n_shingles long, sketch binary, sample binary"
+
+
+def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sketch and sample of each (id, text) with shingles."""
+    for batch in batches:
+        rows = []
+        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            s = shingles(text)[0]
+            if len(s):
+                rows.append((doc_id, len(s), minwise(s).astype(np.uint8).tobytes(), sample(s).tobytes()))
+        yield _batch(SAMPLED, list(zip(*rows, strict=True)) or [[]] * len(SAMPLED))
+
+
+def _shared(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections of sets."""
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, token, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    common = np.flatnonzero(times > 1)
+    place = np.full(len(times), -1)
+    place[common] = np.arange(len(common))
+    column = place[token]
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    both = np.zeros((len(sets), len(sets)), np.float64)
+    step = 4096  # tokens at a time; a product of zeros and ones is exact
+    for first in range(0, len(common), step):
+        a, b = np.searchsorted(column, [first, first + step])
+        held = np.zeros((len(sets), min(step, len(common) - first)), np.float32)
+        held[owner[a:b], column[a:b] - first] = 1
+        both += held @ held.T
+    return both
+
+
+def _sharper(rows: pa.Table, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Which pairs (i, j) of rows may reach the similarity by their samples; without sampling, which do.
+
+    Two tokens of one set may agree in 16 bits: as many as a set loses so are added to the intersection.
+    """
+    halved = _halvings(rows.column("n_shingles").to_numpy())
+    samples = [np.frombuffer(x, np.uint16) for x in rows.column("sample").to_pylist()]
+    cell = rows.column("cell").to_numpy()[i]
+    level = np.maximum(halved[i], halved[j])
+    out = np.zeros(len(i), bool)
+    order = np.lexsort((level, cell))
+    changes = (cell[order][1:] != cell[order][:-1]) | (level[order][1:] != level[order][:-1])
+    for at in np.split(order, np.flatnonzero(changes) + 1):
+        depth = level[at[0]]
+        docs, place = np.unique(np.concatenate([i[at], j[at]]), return_inverse=True)
+        a, b = place[: len(at)], place[len(at) :]
+        # sizes differ by a third at most, so the other range of a pair is halved once less at most
+        parts = [samples[d][1:] if halved[d] == depth else samples[d][1 : 1 + samples[d][0]] for d in docs]
+        sets = [np.unique(x) for x in parts]
+        n, lost = np.array([(len(x), len(x) - len(y)) for x, y in zip(parts, sets, strict=True)]).T
+        if 20 * len(at) < len(docs) ** 2:
+            both = np.array([len(np.intersect1d(sets[x], sets[y], assume_unique=True)) for x, y in zip(a, b, strict=True)])
+        else:
+            both = _shared(sets)[a, b]
+        both = both + np.minimum(lost[a], lost[b])
+        union = n[a] + n[b] - both
+        slack = 0 if depth == 0 else DEVIATIONS * np.sqrt(NEEDED * (100 - NEEDED) * np.maximum(union, 1))
+        out[at] = 100 * both >= NEEDED * union - slack
+    return out
+
+
 def _by_key(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
     """Tables of whole groups from a partition sorted by ``key``; a group may continue in the next batch."""
     held = None
@@ -243,13 +324,17 @@ GROUPS_SQL = "sig long, id long, size long, low long, high long"
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents of each cell that likely pairs connect, under a signature of the group's ids."""
+    """Documents of each cell that likely pairs connect, by sketch and sample, under a signature of the group's ids."""
     for rows in _by_key(batches, "cell"):
         ids = rows.column("id").to_numpy()
         found = [(i, j) for i, j, _ in _scan(rows) if len(i)]
         if not found:
             continue
         i, j = (np.concatenate(side) for side in zip(*found, strict=True))
+        near = _sharper(rows, i, j)
+        if not near.any():
+            continue
+        i, j = i[near], j[near]
         label, before = np.arange(len(ids)), None
         while before is None or (label != before).any():
             before = label.copy()
@@ -296,21 +381,7 @@ def _forest(sets: list[np.ndarray]) -> list[tuple[int, int]]:
     if len(sets) == 2:
         return [(0, 1)] if _similar(*sets) else []
     sizes = np.array([len(x) for x in sets])
-    owner = np.repeat(np.arange(len(sets)), sizes)
-    _, token, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    common = np.flatnonzero(times > 1)
-    place = np.full(len(times), -1)
-    place[common] = np.arange(len(common))
-    column = place[token]
-    order = np.argsort(column, kind="stable")
-    column, owner = column[order], owner[order]
-    both = np.zeros((len(sets), len(sets)), np.float64)
-    step = 4096  # tokens at a time; a product of zeros and ones is exact
-    for first in range(0, len(common), step):
-        a, b = np.searchsorted(column, [first, first + step])
-        held = np.zeros((len(sets), step), np.float32)
-        held[owner[a:b], column[a:b] - first] = 1
-        both += held @ held.T
+    both = _shared(sets)
     linked = 100 * both >= NEEDED * (sizes[:, None] + sizes[None, :] - both)
     out, left = [], np.ones(len(sets), bool)
     for root in range(len(sets)):
@@ -382,9 +453,10 @@ class _Join:
             return frame.withColumn("component", F.col("id"))
         return frame.join(self.components, "id", "left").withColumn("component", F.coalesce("component", "id"))
 
-    def scanned(self, cells: DataFrame, scan, schema: str) -> DataFrame:
-        """``scan`` over the sketches of (cell, id, component)."""
-        rows = cells.join(self.reps.select("id", "n_shingles", "sketch"), "id").select("cell", "id", "n_shingles", "component", "sketch")
+    def scanned(self, cells: DataFrame, scan, schema: str, sets: DataFrame | None = None) -> DataFrame:
+        """``scan`` over (cell, id, component) with the sketches, or what else ``sets`` holds."""
+        sets = self.reps.select("id", "n_shingles", "sketch") if sets is None else sets
+        rows = cells.join(sets, "id").select("cell", "id", "n_shingles", "component", *sets.columns[2:])
         return self.stored(rows.repartition("cell").sortWithinPartitions("cell").mapInArrow(scan, schema))
 
     def confirm_best(self, best: DataFrame) -> None:
@@ -406,7 +478,9 @@ class _Join:
 
     def confirm_groups(self, cells: DataFrame) -> None:
         """Confirm all likely pairs across components within cells; a group met in several cells only once."""
-        groups = self.scanned(cells, _groups, GROUPS_SQL).distinct()
+        wanted = self.texts.join(cells.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi")
+        samples = self.stored(wanted.select("doc_id", "text").mapInArrow(_sampled, SAMPLED_SQL))
+        groups = self.scanned(cells, _groups, GROUPS_SQL, samples).distinct()
         if self.done:
             groups = groups.join(reduce(DataFrame.union, self.done), "sig", "left_anti")
         pair = self.tried and reduce(DataFrame.union, self.tried).selectExpr("a AS low", "b AS high", "2L AS size")

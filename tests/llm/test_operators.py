@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from llm.brute import near_components, removed, words
 
@@ -113,6 +114,57 @@ def test_documents_alone_in_a_node_leave_at_every_token(spark, monkeypatch):
     assert made and all(alone == 0 and out < 1.5 * n for n, out, alone in made)
 
 
+def test_alike_documents_below_the_similarity_make_no_groups(spark, monkeypatch):
+    """Documents that are alike by about 0.6 look likely by their sketches in every tree; only true links go to groups."""
+    rng = random.Random(8)
+    base = prose(rng, 150).split(" ")
+    rows = []
+    for i in range(80):
+        w = list(base)
+        for k in rng.sample(range(15), 4):
+            w[10 * k + 5] = f"new{i}"
+        rows.append((i, " ".join(w)))
+    rows += [(100 + i, f"{t} end{i} end") for i, t in rows[:5]]
+    made = []
+    scanned = near_dups._Join.scanned
+
+    def counted(self, cells, scan, *rest):
+        out = scanned(self, cells, scan, *rest)
+        if scan is near_dups._groups:
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(near_dups._Join, "scanned", counted)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dups.components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = near_components(rows)
+    assert got == want and len({c for _, c in want.values()}) > 50
+    assert made and sum(made) < 2 * len(rows)
+
+
+@pytest.mark.parametrize("size", [40, 500, 700, 1020, 1030, 5000])
+def test_samples_keep_all_links(size):
+    """Samples judge as full sets do up to their size, never lose a link, and part what is well below it."""
+    rng = np.random.default_rng(size)
+    base = rng.integers(0, 1 << 64, size, dtype=np.uint64)
+    sets = []
+    for k in range(40):
+        new = rng.random(size) < 0.005 * k
+        tokens = np.where(new, rng.integers(0, 1 << 64, size, dtype=np.uint64), base)
+        sets.append(np.unique(tokens[: size - (size // 8 if k % 3 == 0 else 0)]))
+    i, j = np.triu_indices(len(sets), 1)
+    columns = {"cell": np.zeros(len(sets), np.int64), "n_shingles": [len(s) for s in sets], "sample": [near_dups.sample(s).tobytes() for s in sets]}
+    near = near_dups._sharper(pa.table(columns), i, j)
+    some = near_dups._sharper(pa.table(columns), i[:30], j[:30])
+    assert (some == near[:30]).all()
+    for a, b, likely in zip(i, j, near, strict=True):
+        both = len(np.intersect1d(sets[a], sets[b]))
+        alike = both / (len(sets[a]) + len(sets[b]) - both)
+        if near_dups._similar(sets[a], sets[b]):
+            assert likely
+        elif alike < (0.73 if max(len(sets[a]), len(sets[b])) <= near_dups.SAMPLE else 0.55):
+            assert not likely
+
+
 @pytest.mark.parametrize("size", [2, 9, 40])
 def test_forest_spans_all_links(size):
     """The tree of a group connects what all pairs of its sets connect, and holds true links only."""
