@@ -7,6 +7,9 @@ at the root and in 1.1 below, so pairs survive at any depth, while other documen
 A pair at 0.75 is missed at depth 1, where most nodes end, with less than 1 in 10^11; deeper the recall is measured, see the README.
 
 - Equal word sequences are one class first, so copies cost one row.
+- Only documents that share 75 % of their shingles with others go on: what no other text holds is in no intersection.
+  Shingles meet by ranges of their hashes, as arrays for a batch of texts, in which a frequent one is a single entry. Up to
+  1000 documents all go on, as the trees then cost less.
 - Nodes are compared in cells: a node of at most 256 documents is one, a larger one is cut into slices of about 256 by
   hash. A cell is compared exhaustively on 8-bit sketches, and a document passes on only its best partner and its best
   partner of a smaller id, so the pairs grow with the documents and not with the square of a group. The best of all cells are
@@ -16,8 +19,10 @@ A pair at 0.75 is missed at depth 1, where most nodes end, with less than 1 in 1
   groups: what pairs connect within a cell is one group, known by a signature, so that a group met in many trees is
   confirmed once. Every text goes to a group once, all intersections are a product of matrices there, and a spanning tree of
   the links comes out.
-- Large nodes: rows outside the node's most common component, if at most 256, join every slice. With more the node
-  branches again, as deep as it takes; so no size of a node drops a pair. Tables of a finished level are deleted.
+- Large nodes: rows outside the node's most common component, if at most 256, join every slice. With more, the nodes that
+  have documents in common are a family. Its documents are cut into blocks and every two blocks are a cell, if that takes at
+  most four rows for each row of its nodes. Otherwise its nodes branch again, as deep as it takes; so no size of a node drops
+  a pair. Tables of a finished level are deleted.
 
 Nodes are only counted and split by shuffles; no more than a cell (about 256 documents and 256 apart) is ever compared at once. Components are computed
 by star contractions on the links, never on the driver.
@@ -44,10 +49,15 @@ SHINGLE = 5
 TREES = 16
 COORDINATES = 128
 SMALL = 256  # documents of a node, or of a slice of one, that are compared in one task
+MEETINGS = 4  # rows that a family of large nodes takes at most for one of its rows, if its blocks are compared
 STEPS = 6  # tokens that a large node takes at most before its children are compared
 NEEDED = 75  # percent
 DEVIATIONS = 5  # by which a sketch or sample may fall short of the expected agreement
 SAMPLE = 512  # shingles that a sample holds about at most; smaller sets are whole
+FEW = 1000  # documents that all go on
+RANGE = 1 << 22  # shingles of all texts that meet in one range of the hashes, at 256 ranges or more
+TOGETHER = 1 << 20  # shingles of a batch of texts, if it has more than one
+NOBODY = np.uint16((1 << 16) - 1)
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -140,6 +150,109 @@ def _prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _batch(PREPARED, rows)
 
 
+PARTS = pa.schema([("part", pa.int64()), ("batch", pa.int64()), ("values", pa.binary()), ("owners", pa.binary())])
+PARTS_SQL = "part long, batch long, values binary, owners binary"
+
+
+def _own_part(batch: int) -> int:
+    """A part, none of a range, for what a batch says of its own texts."""
+    return -1 - abs(batch)
+
+
+def _told(ids: list[int], sets: list[np.ndarray], places: list[int], bits: int) -> pa.RecordBatch:
+    """The shingles of a batch of different texts by ranges, and its documents with the shingles that meet in the batch.
+
+    A shingle of several texts is one entry that no text owns. ``places`` tell the text of each of ``ids``.
+    """
+    owner = np.repeat(np.arange(len(sets), dtype=np.uint16), [len(x) for x in sets])
+    every = np.concatenate(sets)
+    value, first, place, times = np.unique(every, return_index=True, return_inverse=True, return_counts=True)
+    met = np.bincount(owner, weights=times[place] > 1, minlength=len(sets)).astype(np.int64)
+    held = np.where(times > 1, NOBODY, owner[first])
+    low = ((value >> np.uint64(32 - bits)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+    part = (value >> np.uint64(64 - bits)).astype(np.int64)
+    edges = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True])
+    batch = ids[0]
+    at = np.array(places)
+    documents = np.array([ids, at, np.array([len(x) for x in sets])[at], met[at]], np.int64)
+    parts = [_own_part(batch), *part[edges[:-1]].tolist()]
+    values = [documents.tobytes(), *(low[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True))]
+    owners = [None, *(held[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True))]
+    return _batch(PARTS, [parts, [batch] * len(parts), values, owners])
+
+
+def _parts(bits: int):
+    """Shingles of each (doc_id, text), by 2 ** ``bits`` ranges of their hashes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, sets, places, seen, size = [], [], [], {}, 0
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                s, *key = shingles(text)
+                if not len(s):
+                    continue
+                if ids and (size + len(s) > TOGETHER or len(sets) == NOBODY):
+                    yield _told(ids, sets, places, bits)
+                    ids, sets, places, seen, size = [], [], [], {}, 0
+                place = seen.setdefault(tuple(key), len(sets))
+                if place == len(sets):
+                    sets.append(s)
+                    size += len(s)
+                ids.append(doc_id)
+                places.append(place)
+            if ids:
+                yield _told(ids, sets, places, bits)
+
+    return run
+
+
+MET = pa.schema([("batch", pa.int64()), ("documents", pa.binary()), ("owners", pa.binary())])
+MET_SQL = "batch long, documents binary, owners binary"
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each batch the owners of shingles that another batch has in the range; what it says of its own texts goes on."""
+    for rows in _by_key(batches, "part"):
+        part, batch = rows.column("part").to_numpy(), rows.column("batch").to_numpy()
+        values, owners = rows.column("values").to_pylist(), rows.column("owners").to_pylist()
+        firsts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
+        for a, b in zip(firsts, np.r_[firsts[1:], len(part)], strict=True):
+            if part[a] < 0:
+                yield _batch(MET, [batch[a:b], values[a:b], [None] * (b - a)])
+                continue
+            value = np.frombuffer(b"".join(values[a:b]), np.uint32)
+            owner = np.frombuffer(b"".join(owners[a:b]), np.uint16)
+            order = np.argsort(value, kind="stable")
+            again = np.diff(value[order]) == 0
+            met = np.zeros(len(value), bool)
+            met[order] = np.r_[again, False] | np.r_[False, again]
+            met &= owner != NOBODY
+            ends = np.cumsum([len(x) // 2 for x in owners[a:b]])
+            out = [owner[e - len(x) // 2 : e][met[e - len(x) // 2 : e]].tobytes() for e, x in zip(ends, owners[a:b], strict=True)]
+            some = [i for i, x in enumerate(out) if x]
+            yield _batch(MET, [batch[a:b][some], [None] * len(some), [out[i] for i in some]])
+
+
+SHARING = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("met", pa.int64())])
+SHARING_SQL = "id long, n long, met long"
+
+
+def _sharing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, shingles, shingles that another text holds) of the documents whose shared ones reach the similarity."""
+    for rows in _by_key(batches, "batch"):
+        batch = rows.column("batch").to_numpy()
+        documents, owners = rows.column("documents").to_pylist(), rows.column("owners").to_pylist()
+        firsts = np.flatnonzero(np.r_[True, batch[1:] != batch[:-1]])
+        for a, b in zip(firsts, np.r_[firsts[1:], len(batch)], strict=True):
+            told = [np.frombuffer(x, np.int64).reshape(4, -1) for x in documents[a:b] if x is not None]
+            # batches that begin with the same id cannot be told apart, so each gets what all of them met
+            times = np.bincount(np.frombuffer(b"".join(x for x in owners[a:b] if x is not None), np.uint16), minlength=1 << 16)
+            for ids, place, n, met in told:
+                met = np.minimum(met + times[place], n)
+                ok = 100 * met >= NEEDED * n
+                yield _batch(SHARING, [ids[ok], n[ok], met[ok]])
+
+
 NODES = pa.schema([("node", pa.int64()), ("id", pa.int64())])
 
 
@@ -180,12 +293,15 @@ def _next(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _children(ids, nodes.view(np.uint64), _embedding(batch.column(2)), False)
 
 
-def _likely(na: np.ndarray, nb: np.ndarray, sa: np.ndarray, sb: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Which pairs may reach the similarity, by their sizes and sketches; how many sketch bytes agree."""
+def _likely(na: np.ndarray, nb: np.ndarray, ma: np.ndarray, mb: np.ndarray, sa: np.ndarray, sb: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which pairs may reach the similarity, by their sizes, shared shingles and sketches; how many sketch bytes agree.
+
+    An intersection is not above the shingles (ma, mb) that a text shares with any other.
+    """
     agree = (sa == sb).sum(axis=1).astype(np.int32)
     samples = np.minimum(np.minimum(na, nb), COORDINATES)  # a small set gives fewer independent coordinates
     least = COORDINATES * (NEEDED / 100 - DEVIATIONS * np.sqrt(NEEDED * (100 - NEEDED) / 1e4 / samples))
-    return (100 * np.minimum(na, nb) >= NEEDED * np.maximum(na, nb)) & (agree >= least), agree
+    return ((100 + NEEDED) * np.minimum(ma, mb) >= NEEDED * (na + nb)) & (agree >= least), agree
 
 
 def _halvings(n: np.ndarray) -> np.ndarray:
@@ -284,7 +400,8 @@ def _by_key(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
 
 def _scan(rows: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Positions of the likely pairs of different components within each cell, and their agreement."""
-    cell, n, component = (rows.column(c).to_numpy() for c in ("cell", "n_shingles", "component"))
+    cell, n, component, alone = (rows.column(c).to_numpy() for c in ("cell", "n_shingles", "component", "alone"))
+    met = n - alone
     sketch = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8).reshape(-1, COORDINATES)
     for d in range(1, rows.num_rows):
         left = np.flatnonzero(cell[:-d] == cell[d:])
@@ -292,7 +409,7 @@ def _scan(rows: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]
             return
         for at in np.array_split(left, len(left) // 20_000 + 1):
             at = at[component[at] != component[at + d]]
-            ok, agree = _likely(n[at], n[at + d], sketch[at], sketch[at + d])
+            ok, agree = _likely(n[at], n[at + d], met[at], met[at + d], sketch[at], sketch[at + d])
             yield at[ok], at[ok] + d, agree[ok]
 
 
@@ -425,13 +542,23 @@ class _Join:
         classes = prepared.where("n_shingles > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("id"))
         self.classes = cut_lineage(classes)
         reps = prepared.join(self.classes.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi").where("n_shingles > 0")
-        self.reps = cut_lineage(reps.select(F.col("doc_id").alias("id"), "n_shingles", "tokens", "sketch"))
+        reps = reps.select(F.col("doc_id").alias("id"), "n_shingles", "tokens", "sketch")
+        count, total = self.prepared.agg(F.count("*"), F.sum("n_shingles")).first()
+        self.reps = cut_lineage(reps.join(self.sharing(total), "id") if count > FEW else reps.withColumn("alone", F.lit(0).cast("long")))
         self.components = None
         self.tried: list[DataFrame] = []  # pairs, groups that were confirmed or refuted on full sets
         self.done: list[DataFrame] = []
         self.texts = None
         self.drop_steps()
 
+    def sharing(self, total: int) -> DataFrame:
+        """(id, alone) of the documents that may be linked, by the number of shingles that no other text holds, of ``total``."""
+        bits = max(8, (total // RANGE).bit_length())
+        parts = self.docs.mapInArrow(_parts(bits), PARTS_SQL)
+        met = parts.repartition("part").sortWithinPartitions("part").mapInArrow(_met, MET_SQL)
+        rows = met.repartition("batch").sortWithinPartitions("batch").mapInArrow(_sharing, SHARING_SQL)
+        return rows.groupBy("id").agg(F.min(F.col("n") - F.col("met")).alias("alone"))
+
     def stored(self, df: DataFrame) -> DataFrame:
         """``df`` as a table that goes with :meth:`drop_steps`."""
         path = f"{scratch_dir(self.spark, 'step')}/data"
@@ -455,7 +582,7 @@ class _Join:
 
     def scanned(self, cells: DataFrame, scan, schema: str, sets: DataFrame | None = None) -> DataFrame:
         """``scan`` over (cell, id, component) with the sketches, or what else ``sets`` holds."""
-        sets = self.reps.select("id", "n_shingles", "sketch") if sets is None else sets
+        sets = self.reps.select("id", "n_shingles", "sketch", "alone") if sets is None else sets
         rows = cells.join(sets, "id").select("cell", "id", "n_shingles", "component", *sets.columns[2:])
         return self.stored(rows.repartition("cell").sortWithinPartitions("cell").mapInArrow(scan, schema))
 
@@ -479,7 +606,7 @@ class _Join:
     def confirm_groups(self, cells: DataFrame) -> None:
         """Confirm all likely pairs across components within cells; a group met in several cells only once."""
         wanted = self.texts.join(cells.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi")
-        samples = self.stored(wanted.select("doc_id", "text").mapInArrow(_sampled, SAMPLED_SQL))
+        samples = self.stored(wanted.select("doc_id", "text").mapInArrow(_sampled, SAMPLED_SQL)).join(self.reps.select("id", "alone").distinct(), "id")
         groups = self.scanned(cells, _groups, GROUPS_SQL, samples).distinct()
         if self.done:
             groups = groups.join(reduce(DataFrame.union, self.done), "sig", "left_anti")
@@ -499,6 +626,23 @@ class _Join:
         before = found if self.components is None else found.union(self.components.select("id", "component"))
         self.components = connected(before)
 
+    def families(self, wide: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """(cell, id) of families of large nodes (node, id) that are compared block by block; the rows of all others."""
+        least = wide.groupBy("id").agg(F.min("node").alias("b"))
+        found = connected(wide.join(least, "id").select(F.col("node").alias("a"), "b").distinct())
+        found = found.select(F.col("id").alias("node"), F.col("component").alias("family"))
+        rows = wide.join(found, "node", "left").select("node", "id", F.coalesce("family", "node").alias("family"))
+        members = rows.groupBy("family", "id").agg(F.count("*").alias("c"))
+        sizes = members.groupBy("family").agg(F.sum("c").alias("rows"), F.ceil(F.count("*") / SMALL).alias("blocks"), F.count("*").alias("size"))
+        sizes = cut_lineage(sizes.where(F.col("size") * F.col("blocks") <= MEETINGS * F.col("rows")))
+        block = F.pmod(F.xxhash64("family", "id"), "blocks")
+        # blocks that meet another need no cell of their own
+        every = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
+        other = F.explode(F.filter(every, lambda k: (k != F.col("block")) | (F.col("blocks") == 1)))
+        met = members.join(sizes, "family").withColumn("block", block).select("family", "id", "block", other.alias("other"))
+        pair = F.xxhash64("family", F.least("block", "other"), F.greatest("block", "other"))
+        return met.select((F.shiftleft(pair, 1) + 1).alias("cell"), "id"), rows.join(sizes, "family", "left_anti").select("node", "id")
+
     def branched(self, large: DataFrame) -> DataFrame:
         """(node, id) below large nodes, branched until they are not large or took ``STEPS`` tokens.
 
@@ -549,14 +693,16 @@ class _Join:
             everywhere = F.sequence(F.lit(0).cast("long"), slices - 1)
             number = F.explode(F.when(F.col("component") == F.col("head"), F.array(own)).otherwise(everywhere)).alias("number")
             met = few.select("node", "id", "component", number).select(slice_of(F.col("number")).alias("cell"), "id", "component")
-            cells = self.stored(cells.union(met))
-            # most of what is apart here is a piece of one component, which one more round of best pairs joins
-            self.confirm_best(self.scanned(cells, _best, BEST_SQL))
-            self.confirm_groups(self.labelled(cells.select("cell", "id")))
             many = heads.where(F.col("apart") > SMALL).select("node")
-            if many.isEmpty():
+            blocks, wide = self.families(self.stored(rows.join(many, "node").select("node", "id")))
+            wide = self.stored(wide)
+            cells = self.stored(cells.select("cell", "id").union(met.select("cell", "id")).union(blocks))
+            # most of what is apart here is a piece of one component, which one more round of best pairs joins
+            self.confirm_best(self.scanned(self.labelled(cells), _best, BEST_SQL))
+            self.confirm_groups(self.labelled(cells))
+            if wide.isEmpty():
                 break
-            level = self.stored(self.branched(rows.join(many, "node").select("node", "id")))
+            level = self.stored(self.branched(wide))
             self.drop_steps(-1)  # all but the next level
         self.drop_steps()
 

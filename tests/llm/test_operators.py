@@ -141,6 +141,62 @@ def test_alike_documents_below_the_similarity_make_no_groups(spark, monkeypatch)
     assert made and sum(made) < 2 * len(rows)
 
 
+def test_only_documents_that_share_their_shingles_are_compared(spark, monkeypatch):
+    """Documents alike by about 0.6, a quarter of whose shingles no other holds, enter no cell; every link stays."""
+    monkeypatch.setattr(near_dups, "FEW", 0, raising=False)
+    monkeypatch.setattr(near_dups, "TOGETHER", 1500, raising=False)  # batches of some ten texts
+    rng = random.Random(9)
+    base, line = prose(rng, 150).split(" "), prose(rng, 12)
+    rows = []
+    for i in range(80):
+        w = list(base)
+        for k in rng.sample(range(15), 8):
+            w[10 * k + 5] = f"new{i}"
+        rows.append((i, " ".join(w)))
+    rows += [(100 + i, f"{line} {prose(rng, 50)}") for i in range(60)]
+    linked = [(200 + i, f"{t} end{i} end") for i, t in rows[::30]] + [(300 + i, t) for i, t in rows[7::40]]
+    rows += linked + [(400, "one"), (401, "One"), (402, "two words"), (403, ""), (404, None), (405, f"{prose(rng, 40)} ü")]
+    rows.append((406, f"{rows[-1][1]} more"))
+    made = []
+    scanned = near_dups._Join.scanned
+
+    def counted(self, cells, scan, *rest):
+        if scan is near_dups._best:
+            made.append(cells.select("id").distinct().count())
+        return scanned(self, cells, scan, *rest)
+
+    monkeypatch.setattr(near_dups._Join, "scanned", counted)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dups.components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == near_components(rows)
+    assert made and max(made) <= 2 * len(linked) + 10
+
+
+def test_a_family_of_large_nodes_does_not_branch(spark, monkeypatch):
+    """Documents alike by about 0.6 are in the same large nodes of all trees; every two blocks of them meet once."""
+    monkeypatch.setattr(near_dups, "SMALL", 16)
+    rng = random.Random(10)
+    base = prose(rng, 150).split(" ")
+    rows = []
+    for i in range(80):
+        w = list(base)
+        for k in rng.sample(range(15), 4):
+            w[10 * k + 5] = f"new{i}"
+        rows.append((i, " ".join(w)))
+    rows += [(100 + i, f"{t} end{i} end") for i, t in rows[::8]]
+    made = []
+    branched = near_dups._Join.branched
+
+    def counted(self, large):
+        made.append(large.count())
+        return branched(self, large)
+
+    monkeypatch.setattr(near_dups._Join, "branched", counted)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dups.components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = near_components(rows)
+    assert got == want and len({c for _, c in want.values()}) > 50
+    assert not made
+
+
 @pytest.mark.parametrize("size", [40, 500, 700, 1020, 1030, 5000])
 def test_samples_keep_all_links(size):
     """Samples judge as full sets do up to their size, never lose a link, and part what is well below it."""
