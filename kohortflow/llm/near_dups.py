@@ -9,7 +9,7 @@ A pair at 0.75 is missed at depth 1, where most nodes end, with less than 1 in 1
 - Equal word sequences are one class first, so copies cost one row.
 - Only documents that share 75 % of their shingles with others go on: what no other text holds is in no intersection.
   Shingles meet by ranges of their hashes, as arrays for a batch of texts, in which a frequent one is a single entry. Up to
-  1000 documents all go on, as the trees then cost less.
+  256 documents all go on, as the trees then cost less.
 - Nodes are compared in cells: a node of at most 256 documents is one, a larger one is cut into slices of about 256 by
   hash. A cell is compared exhaustively on 8-bit sketches, and a document passes on only its best partner and its best
   partner of a smaller id, so the pairs grow with the documents and not with the square of a group. The best of all cells are
@@ -54,7 +54,7 @@ STEPS = 6  # tokens that a large node takes at most before its children are comp
 NEEDED = 75  # percent
 DEVIATIONS = 5  # by which a sketch or sample may fall short of the expected agreement
 SAMPLE = 512  # shingles that a sample holds about at most; smaller sets are whole
-FEW = 1000  # documents that all go on
+FEW = 256  # documents that all go on
 RANGE = 1 << 22  # shingles of all texts that meet in one range of the hashes, at 256 ranges or more
 TOGETHER = 1 << 20  # shingles of a batch of texts, if it has more than one
 NOBODY = np.uint16((1 << 16) - 1)
