@@ -156,7 +156,7 @@ PARTS_SQL = "part long, batch long, values binary, owners binary"
 
 def _own_part(batch: int) -> int:
     """A part, none of a range, for what a batch says of its own texts."""
-    return -1 - abs(batch)
+    return batch if batch < 0 else -1 - batch
 
 
 def _told(ids: list[int], sets: list[np.ndarray], places: list[int], bits: int) -> pa.RecordBatch:
